@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import edit_counts, fingerprints, packing, quality, secrets, sentencepiece_codec
+from . import edit_counts, fingerprints, line_dedup, packing, pii, quality, secrets, sentencepiece_codec
 from ._common import sha, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -37,6 +37,15 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edited(table(spark, sf_dir, "documents"), _third_replaced, _fingerprint_row, schema)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    kinds = F.array(*[F.lit(k) for k in pii.KINDS])
+    base = F.transform("base", lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")))
+    added = F.transform("added", lambda s: F.concat_ws(":", F.lit("term"), s["start"].cast("string"), s["end"].cast("string")))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, sha(F.array_join(base, ",")).alias("base_sha256"), F.array_join(F.concat(base, added), ",").alias("spans"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -74,13 +83,31 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_counts.count_with_edits(docs, _edits(), BYTE_BPE, keep_text=False).drop("edited_text")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_frequent_lines(docs).select("doc_id", "n_lines", "n_dropped", sha(F.col("text")).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_order_minhash": op2_order_minhash,
+    "op3_pii": op3_pii,
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op6_secrets": op6_secrets,
     "op9_token_counts": op9_token_counts,
+    "op10_line_dedup": op10_line_dedup,
 }
 
-SQL: dict[str, str] = {}
+OP10_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT rid, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM l),
+hot AS (SELECT k AS hot FROM k WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT rid) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(hot) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE hot IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN hot ON k.k = hot.hot GROUP BY rid, doc_id
+"""
+
+SQL: dict[str, str] = {"op10_line_dedup": OP10_SQL}
