@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import edit_counts, fingerprints, line_dedup, packing, pii, quality, secrets, sentencepiece_codec
+from . import edit_counts, fingerprints, jaccard_join, line_dedup, packing, pii, quality, secrets, sentencepiece_codec
 from ._common import sha, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -78,6 +78,10 @@ def _edits():
     return F.array(edit(n / 3, 40, F.lit("")), edit(n / 2, 0, F.substring("text", 1, 60)), edit(n * 0.9, 7, F.lit(" edited words ")))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return edit_counts.count_with_edits(docs, _edits(), BYTE_BPE, keep_text=False).drop("edited_text")
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op6_secrets": op6_secrets,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_token_counts": op9_token_counts,
     "op10_line_dedup": op10_line_dedup,
 }
@@ -110,4 +115,19 @@ SELECT doc_id, count(*) AS n_lines, count(hot) AS n_dropped,
 FROM k LEFT JOIN hot ON k.k = hot.hot GROUP BY rid, doc_id
 """
 
-SQL: dict[str, str] = {"op10_line_dedup": OP10_SQL}
+OP8_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 5 * c >= 4 * (na.n + nb.n - c)),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a, min(b) AS class_id FROM r GROUP BY a),
+k AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links
+FROM documents JOIN m ON m.a = doc_id LEFT JOIN k ON k.a = doc_id
+"""
+
+SQL: dict[str, str] = {"op8_jaccard_join": OP8_SQL, "op10_line_dedup": OP10_SQL}
