@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import edit_counts, fingerprints, jaccard_join, line_dedup, packing, pii, quality, secrets, sentencepiece_codec
+from . import edit_counts, fingerprints, jaccard_join, line_dedup, neighbours, packing, pii, quality, secrets, sentencepiece_codec
 from ._common import sha, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -78,6 +78,11 @@ def _edits():
     return F.array(edit(n / 3, 40, F.lit("")), edit(n / 2, 0, F.substring("text", 1, 60)), edit(n * 0.9, 7, F.lit(" edited words ")))
 
 
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.search(neighbours.build(rows), rows.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op6_secrets": op6_secrets,
+    "op7_nn_descent": op7_nn_descent,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_token_counts": op9_token_counts,
     "op10_line_dedup": op10_line_dedup,
