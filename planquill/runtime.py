@@ -21,3 +21,13 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(root.parent))
     sc.addPyFile(str(target))
     sc._planquill_shipped = True
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The checkpoint folder that the session names; a temporary one only where there is none."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is None:
+        named = "file://" + tempfile.mkdtemp(prefix="planquill-")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(named)
+    return named
