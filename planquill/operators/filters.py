@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Query flags and their bits.
-FLAGS = {"analyze": 1, "verbose": 2, "timing": 4, "buffers": 8, "wal": 16, "query_text": 32, "params": 64, "nested": 128}
+FLAGS = {"analyze": 1, "verbose": 2, "costs": 4, "timing": 8, "buffers": 16, "wal": 32, "query_text": 64, "params": 128}
 
 
 def slow_enough(log: DataFrame, least_ms: float, duration: str = "duration_ms") -> DataFrame:

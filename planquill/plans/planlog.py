@@ -47,13 +47,13 @@ def p_nested_filter(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""SELECT record_no, f AS flags, (f & 1) <> 0 AS analyze, (f & 2) <> 0 AS verbose, (f & 4) <> 0 AS timing, (f & 8) <> 0 AS buffers,
-    (f & 16) <> 0 AS wal, (f & 32) <> 0 AS query_text, (f & 64) <> 0 AS params, (f & 128) <> 0 AS nested FROM (SELECT record_no, CAST(
-    CASE WHEN shape % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN shape % 3 = 0 THEN 2 ELSE 0 END + 4 + CASE WHEN shape % 2 = 0 AND shape % 5 = 0 THEN 8 ELSE 0 END
-    + 32 + CASE WHEN depth > 0 THEN 128 ELSE 0 END AS INTEGER) AS f FROM {LOG})"""
+    f"""SELECT record_no, f AS flags, (f & 1) <> 0 AS analyze, (f & 2) <> 0 AS verbose, (f & 4) <> 0 AS costs, (f & 8) <> 0 AS timing, (f & 16) <> 0 AS buffers,
+    (f & 32) <> 0 AS wal, (f & 64) <> 0 AS query_text, (f & 128) <> 0 AS params FROM (SELECT record_no, CAST(
+    CASE WHEN shape % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN shape % 3 = 0 THEN 2 ELSE 0 END + 4 + 8 + CASE WHEN shape % 2 = 0 AND shape % 5 = 0 THEN 16 ELSE 0 END
+    + 64 + CASE WHEN depth > 0 THEN 128 ELSE 0 END AS INTEGER) AS f FROM {LOG})"""
 )
 def p_flags_decode(t: Tables) -> DataFrame:
-    on = {"analyze": c("shape") % 2 == 0, "verbose": c("shape") % 3 == 0, "timing": F.lit(True), "buffers": c("shape") % 5 == 0, "query_text": F.lit(True), "nested": c("depth") > 0}
+    on = {"analyze": c("shape") % 2 == 0, "verbose": c("shape") % 3 == 0, "costs": F.lit(True), "timing": F.lit(True), "buffers": c("shape") % 5 == 0, "query_text": F.lit(True), "params": c("depth") > 0}
     return log(t).select("record_no", filters.encode_flags(on).alias("flags")).select("record_no", "flags", *filters.decode_flags(c("flags")))
 
 
