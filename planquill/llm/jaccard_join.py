@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import batched, documents_of, stored
+from ._common import batched, documents_of, dropped, stored
 from .components import connected
 
 N = 5
@@ -105,32 +105,35 @@ def signatures(docs: DataFrame, bands: int, rows: int, n: int = N) -> DataFrame:
 
 
 def _candidate_groups(sets: DataFrame) -> DataFrame:
-    """(sid, group) of the sets that share a band hash with another."""
-    bucket = sets.select("sid", F.explode("bands").alias("h"))
-    shared = stored(bucket.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "buckets")
+    """(n, group) of the sets, by number, that share a band hash with another."""
+    bucket = sets.select("n", F.explode("bands").alias("h"))
+    shared = stored(bucket.groupBy("h").agg(F.count("*").alias("held")).where("held > 1").select("h"), "buckets")
     members = stored(bucket.join(shared, "h"), "members")
     # Salted, so that a bucket of very many sets is met by no task whole: sets link to the smallest of
     # their share, shares to the smallest of all.
-    salted = members.withColumn("salt", F.pmod(F.xxhash64("sid"), F.lit(64)))
-    share = stored(salted.groupBy("h", "salt").agg(F.min("sid").alias("m")), "shares")
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("n"), F.lit(64)))
+    share = stored(salted.groupBy("h", "salt").agg(F.min("n").alias("m")), "shares")
     whole = share.groupBy("h").agg(F.min("m").alias("top"))
-    edges = salted.join(share, ["h", "salt"]).select(F.col("sid").alias("a"), F.col("m").alias("b"))
+    edges = salted.join(share, ["h", "salt"]).select(F.col("n").alias("a"), F.col("m").alias("b"))
     edges = edges.unionByName(share.join(whole, "h").select(F.col("m").alias("a"), F.col("top").alias("b")))
-    return connected(edges).select(F.col("node").alias("sid"), F.col("label").alias("group"))
+    groups = connected(edges).select(F.col("node").alias("n"), F.col("label").alias("group"))
+    for done in (shared, members, share):
+        dropped(sets.sparkSession, done)
+    return groups
 
 
 def _links(threshold: float):
     """Verify the pairs of a task: sets of one block among each other, or of two blocks across."""
-    schema = pa.schema([("sid", pa.binary()), ("root", pa.binary()), ("links", pa.int64())])
+    schema = pa.schema([("n", pa.int64()), ("root", pa.int64()), ("links", pa.int64())])
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         p, q = (int(k.as_py()) for k in key[1:])
-        seen: dict[bytes, int] = {}
-        sid, block, weight = (table.column(c).to_pylist() for c in ("sid", "block", "weight"))
-        keep = [i for i, s in enumerate(sid) if seen.setdefault(s, i) == i]
+        seen: dict[int, int] = {}
+        number, block, weight = (table.column(c).to_pylist() for c in ("n", "block", "weight"))
+        keep = [i for i, s in enumerate(number) if seen.setdefault(s, i) == i]
         column = table.column("grams").combine_chunks()
         flat, offsets = np.frombuffer(column.values.buffers()[1], dtype=np.int64)[column.values.offset :][: len(column.values)].view(np.uint64), column.offsets.to_numpy()
-        keep.sort(key=lambda i: (offsets[i + 1] - offsets[i], sid[i]))
+        keep.sort(key=lambda i: (offsets[i + 1] - offsets[i], number[i]))
         rows = [flat[offsets[i] : offsets[i + 1]] for i in keep]
         sizes = np.array([len(r) for r in rows])
         block, weight = np.array([block[i] for i in keep]), np.array([weight[i] for i in keep], dtype=np.int64)
@@ -163,8 +166,8 @@ def _links(threshold: float):
                 if a != b:
                     parent[max(a, b)] = min(a, b)
         some = np.flatnonzero(links)
-        names = [sid[i] for i in keep]
-        return pa.table({"sid": [names[i] for i in some], "root": [names[root(int(i))] for i in some], "links": links[some]}, schema=schema)
+        names = [number[i] for i in keep]
+        return pa.table({"n": [names[i] for i in some], "root": [names[root(int(i))] for i in some], "links": links[some]}, schema=schema)
 
     return run
 
@@ -177,12 +180,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: f
     sets = every.where(F.col("sid").isNotNull()).groupBy("sid").agg(
         F.count("*").alias("weight"), F.min(F.struct(F.coalesce("doc_id", last).alias("o"), "doc_id", "k")).alias("at"), F.first("bands").alias("bands"), F.first("size").alias("size")
     )
-    sets = stored(sets.select("sid", "weight", F.col("at.doc_id").alias("doc_id"), F.col("at.k").alias("k"), "bands", "size"), "sets")
-    members = _candidate_groups(sets.select("sid", "bands")).join(sets.drop("bands"), "sid")
-    members = stored(members, "candidates")
+    # Sets are numbered once and for all as they are written; numbers are half as wide as keys.
+    sets = stored(sets.select(F.monotonically_increasing_id().alias("n"), "sid", "weight", F.col("at.doc_id").alias("doc_id"), F.col("at.k").alias("k"), "bands", "size"), "sets")
+    members = _candidate_groups(sets.select("n", "bands")).join(sets.drop("bands"), "n")
+    candidates = members = stored(members, "candidates")
     groups = members.groupBy("group").agg(F.count("*").alias("g"), F.sum("size").alias("grams"))
     blocks = groups.select("group", F.ceil(F.greatest(F.col("g") / BLOCK_SETS, F.col("grams") / BLOCK_GRAMS)).cast("int").alias("blocks"))
-    members = stored(members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")), "blocks")
+    members = stored(members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("n"), F.col("blocks")).cast("int")), "blocks")
+    spark = docs.sparkSession
+    dropped(spark, candidates)
+    spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle files of joins that are over
 
     wanted = members.select(F.col("doc_id").alias("w_id"), F.col("k").alias("w_k"))
     same = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("k") == F.col("w_k"))
@@ -200,15 +207,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: f
 
     full = texts.mapInArrow(batched(schema, work, ["text"]), schema)
     met = (
-        full.join(members.select("sid", "group", "weight", "blocks", "block"), "sid")
+        full.join(members.select("n", "sid", "group", "weight", "blocks", "block"), "sid")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("group", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "sid", "block", "weight", "grams")
+        .select("group", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "n", "block", "weight", "grams")
     )
-    verified = stored(met.groupBy("group", "p", "q").applyInArrow(_links(threshold), "sid binary, root binary, links long"), "links")
-    linked = verified.groupBy("sid").agg(F.sum("links").alias("links"))
-    labels = connected(verified.select(F.col("sid").alias("a"), F.col("root").alias("b")))
-    parts = sets.select("sid", "weight", "doc_id").join(linked, "sid", "left").where((F.col("weight") > 1) | F.col("links").isNotNull())
-    parts = stored(parts.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid")), "parts")
+    verified = stored(met.groupBy("group", "p", "q").applyInArrow(_links(threshold), "n long, root long, links long"), "links")
+    linked = verified.groupBy("n").agg(F.sum("links").alias("links"))
+    labels = connected(verified.select(F.col("n").alias("a"), F.col("root").alias("b")))
+    parts = sets.select("n", "sid", "weight", "doc_id").join(linked, "n", "left").where((F.col("weight") > 1) | F.col("links").isNotNull())
+    parts = stored(parts.join(labels.withColumnRenamed("node", "n"), "n", "left").withColumn("label", F.coalesce("label", "n")), "parts")
+    dropped(spark, verified)
     least = parts.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     known = stored(parts.join(least, "label").select("sid", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "classes")
     out = every.select("doc_id", "k", "sid").join(known, "sid", "left")
