@@ -11,11 +11,13 @@ import os
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
+from pyspark.sql.pandas.types import to_arrow_schema
+
 from planquill.runtime import ship
 
 from . import codec
@@ -29,25 +31,22 @@ def read(spark: SparkSession, path: str | list[str], pattern: str = "*" + SUFFIX
     ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
 
-    def decode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for name, content in zip(frame["path"], frame["content"], strict=True):
+    arrow = to_arrow_schema(LOG_RECORD)
+    names = [f.name for f in LOG_RECORD.fields]
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
                 held = []
-                for record in codec.read_log(bytes(content), name, verify):
-                    held.append(_row(record))
+                for record in codec.read_log(content.as_py(), name, verify):
+                    held.append({k: record.get(k) for k in names})
                     if len(held) >= 512:
-                        yield pd.DataFrame(held)
+                        yield pa.RecordBatch.from_pylist(held, schema=arrow)
                         held = []
                 if held:
-                    yield pd.DataFrame(held)
-
-    return files.mapInPandas(decode, LOG_RECORD)
-
+                    yield pa.RecordBatch.from_pylist(held, schema=arrow)
 
-def _row(record: dict) -> dict:
-    out = {f.name: record.get(f.name) for f in LOG_RECORD.fields}
-    out["ts"] = pd.Timestamp(record["ts"]).tz_convert(None)
-    return out
+    return files.mapInArrow(decode, LOG_RECORD)
 
 
 def nodes(log: DataFrame) -> DataFrame:
