@@ -55,7 +55,7 @@ def rows_of(frame) -> list[tuple]:
         if isinstance(v, (bool, str, bytes)):
             return v
         if isinstance(v, float):
-            return float(f"{v:.9g}")
+            return int(v) if v.is_integer() else float(f"{v:.9g}")
         if hasattr(v, "item"):
             return plain(v.item())
         if hasattr(v, "isoformat"):
