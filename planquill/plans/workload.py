@@ -44,7 +44,7 @@ def w_result_false_filter(t: Tables) -> DataFrame:
 
 @query("SELECT id, name FROM (VALUES (1, 'a'), (2, 'b'), (3, 'c')) v(id, name) WHERE id > 1")
 def w_values(t: Tables) -> DataFrame:
-    return t.spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, name string").where("id > 1")
+    return t.spark.sql("SELECT id, name FROM VALUES (1, 'a'), (2, 'b'), (3, 'c') AS v(id, name) WHERE id > 1")
 
 
 @query("SELECT CAST(g AS BIGINT) AS g, CAST(g * g AS BIGINT) AS square FROM generate_series(1, 1000) s(g) WHERE g % 7 = 0")

@@ -1,0 +1,115 @@
+"""Renderers on plans that show each rule."""
+
+from __future__ import annotations
+
+import json
+import xml.dom.minidom
+from datetime import datetime, timezone
+
+import pytest
+import yaml
+
+from planquill.functions import render
+from planquill.sources import model as m
+from planquill.sources.codec import detail
+
+FILE = {"path": "p", "server_version": 180000, "file_flags": 3, "server_start": datetime(2024, 1, 1, tzinfo=timezone.utc), "server_start_epoch": 0x65920080, "pid": 0}
+CTX = {"pid": 0x1A2B, "backend_type": "client backend", "database": "db", "user": "", "app": None, "client_host": "10.0.0.1", "client_port": "5433"}
+
+
+def node(path, name, *details, flags=4, **more):
+    base = dict.fromkeys(("relationship", "extra_kind", "extra1", "extra2", "never_executed", "buffers", "wal", "relation", "alias", "schema", "index", "relation_oid", "index_oid"))
+    return base | {
+        "node_path": path, "depth": len(path), "node_code": m.NODES.index(name) + 1, "node_type": name, "node_flags": flags, "startup_cost": 0.0, "total_cost": 12.345, "plan_rows": 9.6, "plan_width": 4,
+        "startup_us": 12, "total_us": 3456, "rows": 2.0, "loops": 1.0, "details": list(details),
+    } | more
+
+
+def record(*nodes, flags=1 | 8, details=(), **more):
+    return {"file": FILE, "ctx": CTX, "ts": datetime(2024, 5, 1, 1, 2, 3, 456789, tzinfo=timezone.utc), "duration_us": 1234567, "flags": flags, "query_id": -9, "plan_id": -1, "query_text": "select 1", "params": None, "details": list(details), "nodes": list(nodes)} | more
+
+
+COST = "(cost=0.00..12.35 rows=10 width=4) (actual time=0.012..3.456 rows=2.00 loops=1)"
+
+
+@pytest.mark.parametrize(
+    ("made", "lines"),
+    [
+        (node([], "Seq Scan", detail(2, "string", "(a > 1)"), detail(21, "uint", 7), relation="T", alias="x"), [f'Seq Scan on "T" x  {COST}', "  Filter: (a > 1)", "  Rows Removed by Filter: 7"]),
+        (node([], "Index Scan", detail(3, "string", "(a = 1)"), relation="t", alias="t", index="t_pkey", extra_kind=6, extra1=0), [f"Index Scan Backward using t_pkey on t  {COST}", "  Index Cond: (a = 1)"]),
+        (node([], "Bitmap Index Scan", index="t_a"), [f"Bitmap Index Scan on t_a  {COST}"]),
+        (node([], "Bitmap Heap Scan", detail(35, "list", ["-1", "3", "0"]), relation="t"), [f"Bitmap Heap Scan on t  {COST}", "  Heap Blocks: exact=3"]),
+        (node([], "Hash Join", detail(24, "bool", True), extra_kind=3, extra1=1), [f"Hash Left Join  {COST}", "  Inner Unique: true"]),
+        (node([], "Nested Loop", extra_kind=3, extra1=5), [f"Nested Loop Anti Join  {COST}"]),
+        (node([], "Merge Join", extra_kind=3, extra1=0), [f"Merge Join  {COST}"]),
+        (node([], "Aggregate", detail(12, "list", ["a", "b"]), extra_kind=4, extra1=2, extra2=2), [f"Partial HashAggregate  {COST}", "  Group Key: a, b"]),
+        (node([], "SetOp", extra_kind=5, extra1=1, extra2=3), [f"HashSetOp Except All  {COST}"]),
+        (node([], "ModifyTable", relation="t", extra_kind=1, extra1=2), [f"Update on t  {COST}"]),
+        (node([], "Hash", detail(27, "list", ["1024", "512", "1", "1", "9"])), [f"Hash  {COST}", "  Buckets: 1024 (originally 512)  Batches: 1 (originally 1)  Memory Usage: 9kB"]),
+        (node([], "Sort", detail(25, "list", ["-1", "quicksort", "Memory", "25"]), detail(25, "list", ["0", "external merge", "Disk", "99"])), [f"Sort  {COST}", "  Sort Method: quicksort  Memory: 25kB", "  Worker 0:  Sort Method: external merge  Disk: 99kB"]),
+        (node([], "Sample Scan", detail(55, "string", "bernoulli"), detail(56, "list", ["'10'::real"]), detail(57, "string", "7"), relation="t"), [f"Sample Scan on t  {COST}", "  Sampling: bernoulli ('10'::real) REPEATABLE (7)"]),
+        (node([], "Memoize", detail(31, "list", ["-1", "5", "2", "0", "0", "1"])), [f"Memoize  {COST}", "  Hits: 5  Misses: 2  Evictions: 0  Overflows: 0  Memory Usage: 1kB"]),
+        (node([], "Incremental Sort", detail(26, "list", ["-1", "Full-sort", "3", "quicksort,top-N heapsort", "Memory", "26", "27", "0", "0"])), [f"Incremental Sort  {COST}", "  Full-sort Groups: 3  Sort Methods: quicksort, top-N heapsort  Average Memory: 26kB  Peak Memory: 27kB"]),
+        (node([], "CTE Scan", detail(53, "string", "c"), detail(50, "string", "d")), [f"CTE Scan on c d  {COST}"]),
+        (node([], "Function Scan", detail(51, "string", "f"), detail(50, "string", "f")), [f"Function Scan on f  {COST}"]),
+        (node([], "Custom Scan", detail(48, "string", "mine"), detail(45, "string", "Reads: 3 b\nKind: x")), [f"Custom Scan (mine)  {COST}", "  Reads: 3 b", "  Kind: x"]),
+        (node([], "Limit", flags=4 | 1 | 64), [f"Parallel Limit  {COST}", "  Disabled: true"]),
+        (node([], "Seq Scan", relation="t", buffers=[1, 2, 0, 0, 0, 0, 0, 0, 0, 5, 1500, 0, 0, 0, 0, 0], wal=[3, 0, 99, 0]), [f"Seq Scan on t  {COST}", "  Buffers: shared hit=1 read=2, temp written=5", "  I/O Timings: shared read=1.500", "  WAL: records=3 bytes=99"]),
+        (node([], "Append", detail(36, "int", 2)), [f"Append  {COST}", "  Subplans Removed: 2"]),
+    ],
+)
+def test_text_lines(made, lines):
+    assert render.to_text(record(made)).split("\n")[1:] == lines
+
+
+def test_text_tree_and_query_parts():
+    tree = [
+        node([], "Limit"), node([0], "Seq Scan", detail(60, "string", "InitPlan 1"), relationship="InitPlan", relation="t"), node([1], "Sort", relationship="Outer"),
+        node([1, 0], "Result", relationship="Outer", rows=0.0, loops=0.0),
+    ]
+    query = [detail(43, "list", ["trg", "", "t", "1500", "2"]), detail(47, "list", ["4"] + ["0"] * 15), detail(44, "list", ["3", "0", "0", "1", "1", "1", "1", "1000", "100", "2000", "3000", "4000", "10000"])]
+    text = render.to_text(record(*tree, flags=1 | 2 | 8, details=query, params="$1 = 'x'"))
+    assert text.split("\n") == [
+        "Query Text: select 1", "Query Parameters: $1 = 'x'", f"Limit  {COST}", "  InitPlan 1", f"    ->  Seq Scan on t  {COST}", f"  ->  Sort  {COST}",
+        "        ->  Result  (cost=0.00..12.35 rows=10 width=4) (never executed)", "Query Identifier: -9", "Planning:", "  Buffers: shared hit=4", "Trigger trg on t: time=1.500 calls=2", "JIT:", "  Functions: 3",
+        "  Options: Inlining false, Optimization true, Expressions true, Deforming true", "  Timing: Generation 1.000 ms (Deform 0.100 ms), Inlining 2.000 ms, Optimization 3.000 ms, Emission 4.000 ms, Total 10.000 ms",
+    ]
+
+
+def test_structured_formats_agree():
+    tree = [node([], "Sort", detail(10, "list", ["a", "b DESC"]), detail(25, "list", ["0", "quicksort", "Memory", "25"])), node([0], "Seq Scan", detail(2, "string", 'x <> "a&b"'), relationship="Outer", relation="t", wal=[1, 2, 3, 4])]
+    r = record(*tree, flags=1 | 2 | 8, query_text="select\n'é' < 1")
+    as_json = json.loads(render.FORMATS["json"](r))
+    assert as_json == yaml.safe_load(render.FORMATS["yaml"](r)) | {"Triggers": []}
+    plan = as_json["Plan"]
+    assert list(plan)[:4] == ["Node Type", "Parallel Aware", "Async Capable", "Startup Cost"] and plan["Workers"] == [{"Worker Number": 0, "Sort Method": "quicksort", "Sort Space Type": "Memory", "Sort Space Used": 25}]
+    assert plan["Sort Key"] == ["a", "b DESC"] and plan["Plans"][0]["WAL Buffers Full"] == 4 and as_json["Query Identifier"] == -9
+    assert '"Sort Key": ["a", "b DESC"]' in render.FORMATS["json"](r) and '"Total Cost": 12.35' in render.FORMATS["json"](r).replace("12.345", "12.35")
+    doc = xml.dom.minidom.parseString(render.FORMATS["xml"](r))
+    assert [e.firstChild.data for e in doc.getElementsByTagName("Node-Type")] == ["Sort", "Seq Scan"]
+    assert doc.getElementsByTagName("Query-Text")[0].firstChild.data == "select\n'é' < 1"
+    assert json.loads(render.FORMATS["raw"](r))["query_id"] == 2**64 - 9
+
+
+def test_without_analyze_and_timing():
+    n = node([], "Seq Scan", relation="t", flags=0, rows=None, loops=None, startup_us=None, total_us=None)
+    assert render.to_text(record(n, flags=4)).endswith("Seq Scan on t  (cost=0.00..12.35 rows=10 width=4)")
+    assert "Triggers" not in render.explained(record(n, flags=4))
+    assert "(actual rows=2.00 loops=1)" in render.to_text(record(node([], "Result"), flags=1))
+
+
+def test_server_log():
+    r = record(node([], "Result"))
+    assert render.log_prefix("%m|%t|%p|%a|%u|%d|%b|%c|%r|%h|%e|%Q|%%|%q|%s|%n", r) == (
+        "2024-05-01 01:02:03.456 UTC|2024-05-01 01:02:03 UTC|6699|[unknown]|[unknown]|db|client backend|65920080.1a2b|10.0.0.1(5433)|10.0.0.1|00000|-9|%||2024-01-01 00:00:00 UTC|1714525323.456"
+    )
+    assert render.log_prefix("[%6d][%-6d]", r) == "[    db][db    ]"
+    line = render.to_server_log(r, prefix="%t ", zone="Europe/Berlin", verbose=True)
+    assert line.startswith("2024-05-01 03:02:03 CEST LOG:  00000: duration: 1234.567 ms  plan:\n\tQuery Text: select 1\n\tResult  (cost")
+    for token in "iLPlvx":
+        with pytest.raises(ValueError, match="does not hold"):
+            render.log_prefix(f"%{token}", r)
+
+
+def test_identifiers():
+    assert [render.quoted(x) for x in ("abc", "Abc", 'a"b', "1a", "a_1$")] == ["abc", '"Abc"', '"a""b"', '"1a"', "a_1$"]
