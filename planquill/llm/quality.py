@@ -2,8 +2,8 @@
 
 A document is the set of its character 1-, 2- and 3-grams, hashed into ``BUCKETS`` indicators. Each
 indicator is scaled by the log-count ratio of the classes, a linear hinge-loss model is fitted to
-the scaled indicators by dual coordinate descent with class-balanced costs, interpolated with the mean weight, and margins
-are turned into probabilities by a logistic curve fitted on rows that the descent did not see.
+the scaled indicators by dual coordinate descent with class-balanced costs, and margins
+are turned into probabilities by a logistic curve over cross-validated margins.
 
 The fit takes at most ``SAMPLE_ROWS`` labelled rows, those with the smallest hashes of their ids; a
 row reaches the driver as BUCKETS / 8 bytes, so the sample is bounded in bytes too. Scoring reads
@@ -29,6 +29,8 @@ from ._common import batched, documents_of
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 4_000
 ACCEPT = 0.7
+#: Folds of the sample whose margins, each from a fit on the others, set the logistic curve.
+FOLDS = 4
 #: n-grams of word repeats and the buckets kept for them.
 REPEATS = (("r", 0), ("rr", 1), ("rrr", 2), ("rrrrr", 3))
 
@@ -72,14 +74,16 @@ class NbSvm:
 
 
 def log_count_ratio(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    counts = np.ones((2, BUCKETS))
+    """Log of an indicator's share in class 1 over that in class 0. The one count that smooths is divided
+    by the sizes of the classes, so that an indicator never seen says nothing."""
+    sizes, counts = np.array([(y < 0).sum(), (y > 0).sum()], dtype=float), np.zeros((2, BUCKETS))
     for x, label in zip(rows, y, strict=True):
         counts[int(label > 0), x] += 1
-    p = counts / counts.sum(axis=1, keepdims=True)
-    return np.log(p[1] / p[0])
+    shares = (counts + (sizes / sizes.sum())[:, None]) / sizes[:, None]
+    return np.log(shares[1] / shares[0])
 
 
-def dual_descent(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, cost: float = 0.1, epochs: int = 25, tolerance: float = 1e-3, seed: int = 7) -> tuple[np.ndarray, float]:
+def dual_descent(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, cost: float = 1.0, epochs: int = 25, tolerance: float = 1e-3, seed: int = 7) -> tuple[np.ndarray, float]:
     """Weights and intercept (a constant feature) of the L2-regularised hinge loss, found by
     coordinate descent on the dual variables; each row's box is its class's balanced cost."""
     values = [np.append(ratio[x], 1.0) for x in rows]
@@ -126,20 +130,26 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> NbSvm:
     if len(set(y.tolist())) < 2:
         p = (1.0 if y[0] > 0 else 0.0) if len(y) else 0.5
         return NbSvm(np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 1.0, float(np.log((p + 1e-3) / (1 - p + 1e-3))))
-    rest = np.arange(len(y)) % 4 == 3
-    if min((rest & (y > 0)).sum(), (rest & (y < 0)).sum(), (~rest & (y > 0)).sum(), (~rest & (y < 0)).sum()) < 2:
-        rest = np.ones(len(y), dtype=bool)
-        learn = rest
-    else:
-        learn = ~rest
-    own = [rows[i] for i in np.flatnonzero(learn)]
-    ratio = log_count_ratio(own, y[learn])
-    w, c = dual_descent(own, y[learn], ratio)
-    model = NbSvm(w, ratio**2, c, 1.0, 0.0)
-    model.slope, model.shift = logistic(np.array([model.margin(rows[i]) for i in np.flatnonzero(rest)]), y[rest])
+    model = _fitted(rows, y)
+    # Margins of rows that a fold's own fit did not see tell how far to trust a margin.
+    fold, order = np.zeros(len(y), dtype=int), np.argsort(y, kind="stable")
+    fold[order] = np.arange(len(y)) % FOLDS
+    margins = np.array([model.margin(x) for x in rows])
+    for k in range(FOLDS):
+        own = fold != k
+        if min((own & (y > 0)).sum(), (own & (y < 0)).sum()) and not own.all():
+            part = _fitted([rows[i] for i in np.flatnonzero(own)], y[own])
+            margins[~own] = [part.margin(rows[i]) for i in np.flatnonzero(~own)]
+    model.slope, model.shift = logistic(margins, y)
     return model
 
 
+def _fitted(rows: list[np.ndarray], y: np.ndarray) -> NbSvm:
+    ratio = log_count_ratio(rows, y)
+    w, c = dual_descent(rows, y, ratio)
+    return NbSvm(w, ratio**2, c, 1.0, 0.0)
+
+
 def held_out(doc_id: Column) -> Column:
     """The rows whose labels are never learnt from."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
