@@ -98,14 +98,14 @@ def _modes(cap: int) -> str:
     CASE WHEN f.template_id <= {cap} THEN f.template_id END AS template_id FROM l JOIN f USING (query_id, shape))"""
 
 
-@query(f"WITH {SEEN}, {_modes(1000000)} SELECT record_no, template_mode, template_id FROM m")
+@query(f"WITH {SEEN}, {_modes(1000000)} SELECT record_no, template_mode, coalesce(template_id, 0) AS template_id FROM m")
 def p_template_mode(t: Tables) -> DataFrame:
-    return templates.with_mode(log(t), KEY, ORDER, cap=1_000_000).select("record_no", "template_mode", "template_id")
+    return templates.with_mode(log(t), KEY, ORDER, cap=1_000_000).select("record_no", "template_mode", F.coalesce("template_id", F.lit(0).cast("long")).alias("template_id"))
 
 
-@query(f"WITH {SEEN}, {_modes(4096)} SELECT record_no, template_mode, template_id FROM m")
+@query(f"WITH {SEEN}, {_modes(4096)} SELECT record_no, template_mode, coalesce(template_id, 0) AS template_id FROM m")
 def p_template_cap(t: Tables) -> DataFrame:
-    return templates.with_mode(log(t), KEY, ORDER).select("record_no", "template_mode", "template_id")
+    return templates.with_mode(log(t), KEY, ORDER).select("record_no", "template_mode", F.coalesce("template_id", F.lit(0).cast("long")).alias("template_id"))
 
 
 @query(f"WITH {SEEN}, {_modes(4096)} SELECT record_no, template_mode, 'plan ' || query_id || '/' || shape AS query_text FROM m")
@@ -152,10 +152,10 @@ def p_template_savings(t: Tables) -> DataFrame:
     f"""WITH l AS (SELECT *, row_number() OVER (PARTITION BY app, query_id, shape ORDER BY ts, record_no) AS nth FROM {LOG}),
     f AS (SELECT app, query_id, shape, row_number() OVER (PARTITION BY app ORDER BY ts, record_no) AS template_id FROM l WHERE nth = 1)
     SELECT record_no, CASE WHEN f.template_id > 500 THEN 'none' WHEN nth = 1 THEN 'define' ELSE 'ref' END AS template_mode,
-    CASE WHEN f.template_id <= 500 THEN f.template_id END AS template_id FROM l JOIN f USING (app, query_id, shape)"""
+    CASE WHEN f.template_id <= 500 THEN f.template_id ELSE 0 END AS template_id FROM l JOIN f USING (app, query_id, shape)"""
 )
 def p_template_per_file(t: Tables) -> DataFrame:
-    return templates.with_mode(log(t), KEY, ORDER, cap=500, within=["app"]).select("record_no", "template_mode", "template_id")
+    return templates.with_mode(log(t), KEY, ORDER, cap=500, within=["app"]).select("record_no", "template_mode", F.coalesce("template_id", F.lit(0).cast("long")).alias("template_id"))
 
 
 @query(f"SELECT record_no, CASE WHEN query_id % 2 = 0 THEN 'none' WHEN row_number() OVER (PARTITION BY query_id, shape ORDER BY ts, record_no) = 1 THEN 'define' ELSE 'ref' END AS template_mode FROM {LOG}")
@@ -261,10 +261,10 @@ def p_worker_merge(t: Tables) -> DataFrame:
     return merged.select("shape", F.size("workers").cast("long").alias("workers"), rows.alias("rows"), F.element_at("workers", 1)["worker"].alias("first_worker"))
 
 
-@query(f"SELECT app, shape % 10 AS family, count(*) AS n, CAST(sum(record_bytes) AS BIGINT) AS hit, CAST(sum(depth) AS BIGINT) AS read FROM {LOG} GROUP BY ROLLUP (app, shape % 10)")
+@query(f"SELECT app, coalesce(shape % 10, -1) AS family, count(*) AS n, CAST(sum(record_bytes) AS BIGINT) AS hit, CAST(sum(depth) AS BIGINT) AS read FROM {LOG} GROUP BY ROLLUP (app, shape % 10)")
 def p_buffers_rollup(t: Tables) -> DataFrame:
     d = log(t).withColumn("family", c("shape") % 10)
-    return d.rollup("app", "family").agg(F.count("*").alias("n"), F.sum("record_bytes").alias("hit"), F.sum("depth").alias("read"))
+    return d.rollup("app", "family").agg(F.count("*").alias("n"), F.sum("record_bytes").alias("hit"), F.sum("depth").alias("read")).withColumn("family", F.coalesce("family", F.lit(-1).cast("long")))
 
 
 # Benchmark reports -------------------------------------------------------------------------------

@@ -238,9 +238,9 @@ def w_agg_distinct(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_returnflag").agg(F.countDistinct("l_suppkey").alias("suppliers"), F.countDistinct("l_partkey").alias("parts"))
 
 
-@query("SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer GROUP BY ROLLUP (c_mktsegment, c_nationkey)")
+@query("SELECT c_mktsegment, coalesce(c_nationkey, -1) AS c_nationkey, count(*) AS n FROM customer GROUP BY ROLLUP (c_mktsegment, customer.c_nationkey)")
 def w_agg_rollup(t: Tables) -> DataFrame:
-    return t.customer.rollup("c_mktsegment", "c_nationkey").agg(F.count("*").alias("n"))
+    return t.customer.rollup("c_mktsegment", "c_nationkey").agg(F.count("*").alias("n")).withColumn("c_nationkey", F.coalesce("c_nationkey", F.lit(-1)))
 
 
 @query("SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)")
@@ -359,29 +359,34 @@ def w_join_theta(t: Tables) -> DataFrame:
     return j.join(t.nation, (c("c_nationkey") == c("n_nationkey")) & (c("o_totalprice") > c("c_acctbal") * 20)).groupBy("n_name").agg(F.count("*").alias("n"))
 
 
-JOIN = "SELECT c_custkey, o_orderkey FROM (SELECT * FROM customer WHERE c_custkey % 5 = 0) c {} JOIN (SELECT * FROM orders WHERE o_orderkey % 7 = 0) o ON o_custkey = c_custkey"
+#: Whole numbers that an outer join leaves null are shown as -1, which no key is.
+JOIN = "SELECT coalesce(c_custkey, -1) AS c_custkey, coalesce(o_orderkey, -1) AS o_orderkey FROM (SELECT * FROM customer WHERE c_custkey % 5 = 0) c {} JOIN (SELECT * FROM orders WHERE o_orderkey % 7 = 0) o ON o_custkey = c_custkey"
 
 
 def _sides(t: Tables) -> tuple[DataFrame, DataFrame, Column]:
     return t.customer.where("c_custkey % 5 = 0").select("c_custkey"), t.orders.where("o_orderkey % 7 = 0").select("o_orderkey", "o_custkey"), c("o_custkey") == c("c_custkey")
 
 
+def _shown(df: DataFrame, *keys: str) -> DataFrame:
+    return df.select(*[F.coalesce(c(k), F.lit(-1).cast("long")).alias(k) for k in keys])
+
+
 @query(JOIN.format("LEFT"))
 def w_join_left(t: Tables) -> DataFrame:
     a, b, on = _sides(t)
-    return a.join(b, on, "left").select("c_custkey", "o_orderkey")
+    return _shown(a.join(b, on, "left"), "c_custkey", "o_orderkey")
 
 
 @query(JOIN.format("RIGHT"))
 def w_join_right(t: Tables) -> DataFrame:
     a, b, on = _sides(t)
-    return a.join(b, on, "right").select("c_custkey", "o_orderkey")
+    return _shown(a.join(b, on, "right"), "c_custkey", "o_orderkey")
 
 
 @query(JOIN.format("FULL"))
 def w_join_full(t: Tables) -> DataFrame:
     a, b, on = _sides(t)
-    return a.join(b, on, "full").select("c_custkey", "o_orderkey")
+    return _shown(a.join(b, on, "full"), "c_custkey", "o_orderkey")
 
 
 @query("SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000)")
@@ -389,9 +394,9 @@ def w_join_semi(t: Tables) -> DataFrame:
     return t.customer.join(t.orders.where("o_totalprice > 200000"), c("o_custkey") == c("c_custkey"), "left_semi").select("c_custkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)")
 def w_join_anti(t: Tables) -> DataFrame:
-    return t.customer.join(t.orders, c("o_custkey") == c("c_custkey"), "left_anti").select("c_custkey")
+    return t.customer.join(t.orders.where("o_totalprice > 400000"), c("o_custkey") == c("c_custkey"), "left_anti").select("c_custkey")
 
 
 @query("SELECT o_orderkey FROM orders WHERE EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal < 0)")
