@@ -184,13 +184,13 @@ def p_rotate_size(t: Tables) -> DataFrame:
       FROM r JOIN l ON l.app = r.app AND l.rn = r.rn + 1) SELECT record_no, app, file_index FROM r"""
 )
 def p_rotate_age(t: Tables) -> DataFrame:
-    seconds = F.unix_seconds(c("ts").cast("timestamp"))
+    seconds = F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")  # in no time zone
     return rotation.by_age(log(t).withColumn("s", seconds), 86_400, "app", ORDER, "s").select("record_no", "app", "file_index")
 
 
 @query(f"SELECT record_no, CAST(sum(CASE WHEN record_no % 1000 = 7 THEN 1 ELSE 0 END) OVER (ORDER BY ts, record_no ROWS UNBOUNDED PRECEDING) AS BIGINT) AS file_index FROM {LOG}")
 def p_rotate_manual(t: Tables) -> DataFrame:
-    return rotation.on_request(log(t), c("record_no") % 1000 == 7, F.date_trunc("hour", "ts"), ORDER).select("record_no", "file_index")
+    return rotation.on_request(log(t), c("record_no") % 1000 == 7, F.to_date("ts"), ORDER).select("record_no", "file_index")
 
 
 @query(
