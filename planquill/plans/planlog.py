@@ -299,10 +299,10 @@ def p_bytes_per_tx(t: Tables) -> DataFrame:
 @query("SELECT profile, codec, mode FROM (VALUES ('simple'), ('full')) p(profile), (VALUES ('none'), ('lz4'), ('zstd')) k(codec), (VALUES ('plain'), ('templates')) m(mode)")
 def p_scenarios(t: Tables) -> DataFrame:
     """The scenario matrix: three lists of fixed values."""
-    spark = t.spark
-    lists = [("profile", ["simple", "full"]), ("codec", ["none", "lz4", "zstd"]), ("mode", ["plain", "templates"])]
-    frames = [spark.createDataFrame([(v,) for v in values], f"{name} string") for name, values in lists]
-    return frames[0].crossJoin(frames[1]).crossJoin(frames[2])
+    return t.spark.sql(
+        """SELECT profile, codec, mode FROM VALUES ('simple'), ('full') AS p(profile)
+           CROSS JOIN VALUES ('none'), ('lz4'), ('zstd') AS k(codec) CROSS JOIN VALUES ('plain'), ('templates') AS m(mode)"""
+    )
 
 
 @query(
