@@ -16,6 +16,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -26,10 +27,7 @@ from pyspark.sql import DataFrame
 from ._common import batched, documents_of
 
 SPACE = "▁"
-PLACE = (1 << 32) - 1
-RANK = ~PLACE
-GONE = -2
-#: Words a worker remembers in each of two generations; the older one is dropped when the newer is
+#: Words whose ids, as bytes, a worker remembers in each of two generations; the older one is dropped when the newer is
 #: full, which costs time and no result.
 MEMO = 600_000
 #: Longer words are not remembered.
@@ -56,20 +54,8 @@ class PieceCodec:
             raise ValueError("user-defined and unused pieces are not supported")
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.prefix = SPACE if spec.add_dummy_prefix else ""
-        ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == kind.NORMAL}
-        self.size = len(model.pieces)
-        #: Symbols that are no merge: characters, also those that are in pieces but none themselves.
-        self.symbols = {c: ids.get(c, self.size + k) for k, c in enumerate(sorted({c for piece in ids for c in piece}))}
-        known = {**self.symbols, **ids}
-        ranks = {s: r for r, s in enumerate(sorted({-p.score for p in model.pieces}), 1)}
-        #: By the ids of two neighbours: rank and id of the piece that they form.
-        self.pairs = {}
-        for piece, i in ids.items():
-            value = ranks[-model.pieces[i].score] << 32 | i
-            for k in range(1, len(piece)):
-                left, right = known.get(piece[:k]), known.get(piece[k:])
-                if left is not None and right is not None:
-                    self.pairs[left << 21 | right] = value
+        self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == kind.NORMAL}
+        self.order = {p.piece: -p.score for p in model.pieces if p.type == kind.NORMAL}
         self.end = next(i for i, p in enumerate(model.pieces) if p.piece == model.trainer_spec.eos_piece)
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == kind.UNKNOWN)
         self.byte_ids = [0] * 256
@@ -84,71 +70,63 @@ class PieceCodec:
                 self.surface.append(model.trainer_spec.unk_surface.encode() if p.type == kind.UNKNOWN else b"")
         self.fallback = model.trainer_spec.byte_fallback
         #: Characters that are neighbours within some piece: only these can ever be merged.
-        self.joined = {piece[i : i + 2] for piece in ids for i in range(len(piece) - 1)}
+        self.joined = {piece[i : i + 2] for piece in self.ids for i in range(len(piece) - 1)}
         self.words = not any(a != SPACE and b == SPACE for a, b in self.joined)
-        self.memo: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-        self.parts: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def agenda(self, text: str) -> list[int]:
-        """Ids of one segment. An entry of the agenda is rank and position in one integer; it is stale
-        when what now stands there has another rank."""
-        pairs, n = self.pairs, len(text)
-        ids = [self.symbols.get(c, -1) for c in text]
+        """Ids of one segment. An entry is score, position and piece; it is stale when what now stands
+        there is another piece."""
+        order, symbols, n = self.order, list(text), len(text)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(v & RANK) | i for i in range(n - 1) if (v := pairs.get(ids[i] << 21 | ids[i + 1]))]
+        heap = [(order[p], i, p) for i in range(n - 1) if (p := text[i : i + 2]) in order]
         heapify(heap)
         while heap:
-            entry = heappop(heap)
-            i = entry & PLACE
+            _, i, piece = heappop(heap)
             j = after[i]
-            if j >= n or ids[i] == GONE:
+            if j >= n or symbols[i] is None or symbols[i] + symbols[j] != piece:
                 continue
-            v = pairs.get(ids[i] << 21 | ids[j], 0)
-            if v & RANK != entry - i:
-                continue
-            ids[i], ids[j] = v & PLACE, GONE
+            symbols[i], symbols[j] = piece, None
             after[i] = right = after[j]
             if right < n:
                 before[right] = i
-                if v := pairs.get(ids[i] << 21 | ids[right]):
-                    heappush(heap, (v & RANK) | i)
+                if (p := piece + symbols[right]) in order:
+                    heappush(heap, (order[p], i, p))
             left = before[i]
-            if left >= 0 and (v := pairs.get(ids[left] << 21 | ids[i])):
-                heappush(heap, (v & RANK) | left)
-        if min(ids) != -1 and max(ids) < self.size:
-            return [x for x in ids if x >= 0]
+            if left >= 0 and (p := symbols[left] + piece) in order:
+                heappush(heap, (order[p], left, p))
         out: list[int] = []
-        for i, x in enumerate(ids):
-            if x == GONE:
-                continue
-            if 0 <= x < self.size:
-                out.append(x)
-            elif self.fallback:
-                out.extend(self.byte_ids[b] for b in text[i].encode())
-            else:
-                out.append(self.unknown)
+        for s in symbols:
+            if s is not None:
+                if (i := self.ids.get(s)) is not None:
+                    out.append(i)
+                elif self.fallback:
+                    out.extend(self.byte_ids[b] for b in s.encode())
+                else:
+                    out.append(self.unknown)
         return out
 
-    def segment(self, word: str) -> tuple[int, ...]:
+    def segment(self, word: str) -> bytes:
         """Ids of a word, cut where no piece can reach across. What stands before the first cut is a
         word that the memo may know already."""
         joined = self.joined
         cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in joined]
         if not cuts:
-            return tuple(self.agenda(word))
+            return array("i", self.agenda(word)).tobytes()
         out, start, opening = [], 0, len(self.prefix)
         for i in [*cuts, len(word)]:
             part = word[start:i]
             memo, key = (self.memo, part[opening:]) if start == 0 and i > opening else (self.parts, part)
             ids = memo.get(key)
             if ids is None:
-                ids = tuple(self.agenda(part))
+                ids = array("i", self.agenda(part)).tobytes()
                 if len(part) <= MEMO_CHARS:
                     memo[key] = ids
-            out += ids
+            out.append(ids)
             start = i
-        return tuple(out)
+        return b"".join(out)
 
     def split(self, text: str) -> list[str]:
         """Words without the space mark that precedes each; with it, they are the escaped text."""
@@ -173,11 +151,10 @@ class PieceCodec:
             self.memo, self.older = {}, self.memo
             self.parts.clear()
         memo, older = self.memo, self.older
-        missing = set(chain.from_iterable(split)).difference(memo)
-        kept: dict[str, tuple[int, ...]] = {}
+        kept: dict[str, bytes] = {}
         wrong: set[str] = set()
         new = []
-        for w in missing:
+        for w in set(chain.from_iterable(split)).difference(memo):
             if w in older:
                 memo[w] = older[w]
             else:
@@ -186,12 +163,16 @@ class PieceCodec:
             plain = [w.replace(SPACE, " ") for w in new]
             for word, text, theirs in zip(new, plain, self.library.encode(plain, num_threads=1), strict=True):
                 ids = self.segment(self.prefix + word)
-                if text and list(ids) != theirs:
+                if text and ids != array("i", theirs).tobytes():
                     wrong.add(word)
-                    ids = tuple(theirs)
+                    ids = array("i", theirs).tobytes()
                 (memo if len(word) <= MEMO_CHARS else kept)[word] = ids
         look = (lambda w: kept[w] if w in kept else memo[w]) if kept else memo.__getitem__
-        ids = [[*chain.from_iterable(map(look, words)), self.end] for words in split]
+        ids = []
+        for words in split:
+            one = array("i", b"".join(map(look, words))).tolist()
+            one.append(self.end)
+            ids.append(one)
         return ids, [sum(w in wrong for w in words) if wrong else 0 for words in split]
 
     def decode(self, ids: list[int]) -> str:
