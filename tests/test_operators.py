@@ -155,6 +155,13 @@ def test_capture_settings_and_failure(spark, small):
         assert df.count() >= 0
     c.stop()
     assert isinstance(c.failed, OSError)
+    first, second = (capture.Capture(spark, lambda _: None).start() for _ in range(2))
+    runs()[0].collect()
+    first.stop()
+    runs()[0].collect()
+    second.stop()
+    runs()[0].collect()
+    assert (first.number, second.number) == (1, 2)
 
 
 # Streams -------------------------------------------------------------------------------------------
