@@ -41,3 +41,21 @@ def test_stages(spark, small):
 
 def test_names_and_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_duplicates", "pii", "packing"]
+
+
+def test_stages_on_odd_and_empty_tables(spark, nasty, nothing, tmp_path):
+    """Nulls, long texts, repeated rows and clashing names pass through every stage; so does nothing at all."""
+    rows, odd = nasty
+    labels = spark.createDataFrame([(7, 1, 0), (100, 1, 0), (101, 1, 1), (None, 0, 0), (102, None, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for docs in (odd, nothing):
+        kept = docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stored(stage(spark, kept, str(tmp_path)), f"odd-{name}")
+            assert kept.columns == docs.columns
+        ids = [r.doc_id for r in kept.collect()]
+        packed = corpus_pipeline.STAGES[-1][1](spark, kept, str(tmp_path))
+        assert {r.doc_id for r in packed.collect()} == set(ids)
+        if docs is odd:
+            # Every text is clean by these labels: copies alone go.
+            assert 7 in ids and 8 not in ids and 9 not in ids and 20 not in ids and ids.count(7) == 1 and 12 in ids
