@@ -17,6 +17,7 @@ results; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -85,26 +86,27 @@ def log_count_ratio(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
 
 def dual_descent(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, cost: float = 1.0, epochs: int = 25, tolerance: float = 1e-3, seed: int = 7) -> tuple[np.ndarray, float]:
     """Weights and intercept (a constant feature) of the L2-regularised hinge loss, found by
-    coordinate descent on the dual variables; each row's box is its class's balanced cost."""
-    values = [np.append(ratio[x], 1.0) for x in rows]
-    columns = [np.append(x, BUCKETS) for x in rows]
-    scale = np.sqrt([max(v @ v, 1e-9) for v in values])
-    values = [v / s for v, s in zip(values, scale, strict=True)]
+    coordinate descent on the dual variables; each row has length one, and its box is its class's balanced cost."""
+    scale = [1 / np.sqrt(float(ratio[x] @ ratio[x]) + 1) for x in rows]
+    values = [(ratio[x] * s).astype(np.float32) for x, s in zip(rows, scale, strict=True)]
     upper = np.where(y > 0, cost * len(y) / (2 * max((y > 0).sum(), 1)), cost * len(y) / (2 * max((y < 0).sum(), 1)))
-    w, alpha, rng = np.zeros(BUCKETS + 1), np.zeros(len(y)), np.random.default_rng(seed)
+    w, b, alpha, rng = np.zeros(BUCKETS), 0.0, np.zeros(len(y)), np.random.default_rng(seed)
     for _ in range(epochs):
         worst = 0.0
         for i in rng.permutation(len(y)):
-            g = y[i] * float(w[columns[i]] @ values[i]) - 1
+            x, v = rows[i], values[i]
+            g = y[i] * (float(w[x] @ v) + b * scale[i]) - 1
             if (alpha[i] == 0 and g >= 0) or (alpha[i] == upper[i] and g <= 0):
                 continue
             worst = max(worst, abs(g))
             new = min(max(alpha[i] - g, 0.0), upper[i])
-            w[columns[i]] += (new - alpha[i]) * y[i] * values[i]
+            step = (new - alpha[i]) * y[i]
+            w[x] += step * v
+            b += step * scale[i]
             alpha[i] = new
         if worst < tolerance:
             break
-    return w[:BUCKETS] * ratio, float(w[BUCKETS])
+    return w * ratio, float(b)
 
 
 def logistic(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -174,11 +176,16 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample
         for doc_id, text, y in zip(columns["doc_id"], columns["text"], columns["label"], strict=True):
             seen = np.zeros(BUCKETS, dtype=bool)
             seen[indicators(text)] = True
-            yield doc_id, y, np.packbits(seen).tobytes()
+            yield doc_id, y, zlib.compress(np.packbits(seen).tobytes(), 1)
 
-    sample = sorted(rows.mapInArrow(batched(schema, work, ["doc_id", "text", "label"]), schema).collect())
-    bits = [np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], dtype=np.uint8))) for r in sample]
-    return fit(bits, np.array([r["label"] for r in sample]))
+    # Sent packed and kept as two-byte numbers: the driver holds a few kilobytes a row at most.
+    sample = [(r["doc_id"], r["label"], _unpacked(r["bits"])) for r in rows.mapInArrow(batched(schema, work, ["doc_id", "text", "label"]), schema).collect()]
+    sample.sort(key=lambda r: r[0])
+    return fit([x for *_, x in sample], np.array([y for _, y, _ in sample]))
+
+
+def _unpacked(bits: bytes) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(bits), dtype=np.uint8))).astype(np.uint16)
 
 
 def score(docs: DataFrame, model: NbSvm, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
