@@ -28,7 +28,6 @@ BASE = {
     # Greedy runs of 24 or more are those runs of any length that are not too short.
     "hex": (re.compile(r"[0-9a-f]{24,}"), 0, 24),
 }
-KEYWORD = re.compile(r"(?i:password|passwd|secret|token|api_?key)")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SIZE = len(ALPHABET)
 #: Class of each byte, SIZE for what is in no key; other characters become '?' before.
