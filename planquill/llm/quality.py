@@ -6,7 +6,7 @@ the scaled indicators by dual coordinate descent with class-balanced costs, and
 are turned into probabilities by a logistic curve over cross-validated margins.
 
 The fit takes at most ``SAMPLE_ROWS`` labelled rows, those with the smallest hashes of their ids; a
-row reaches the driver as BUCKETS / 8 bytes, so the sample is bounded in bytes too. Scoring reads
+row reaches the driver as BUCKETS / 8 bytes at most, so the sample is bounded in bytes too. Scoring reads
 every document whole.
 
 Defined results: null and empty texts have no indicators and score by the intercept; a document
