@@ -369,6 +369,25 @@ def test_neighbours_recall_and_scores(spark, tmp_path):
         assert all(d == pytest.approx(true[q, i], rel=1e-12, abs=1e-12) for i, d in got[q] if (q, i) in true)
 
 
+@pytest.mark.parametrize("kind", ["outlier", "norms"])
+def test_neighbours_of_rows_with_different_norms(spark, kind, tmp_path):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, 16))
+    if kind == "outlier":
+        x[7, 3] = 1e6
+    else:
+        x *= 10.0 ** rng.integers(-3, 4, size=(1500, 1))
+    vectors = [(i, v) for i, v in enumerate(x.astype(np.float32))]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in vectors], "vec_id long, embedding array<float>")
+    got = defaultdict(set)
+    for r in queries.op7_nn_descent(spark, tables(tmp_path, embeddings=df)).collect():
+        got[r.query_id].add(r.vec_id)
+    want = brute_neighbours(vectors)
+    recall = sum(len(got[q] & {i for i, _ in want[q]}) for q in want) / (10 * len(want))
+    print("recall", kind, recall)
+    assert recall >= 0.95
+
+
 @pytest.mark.parametrize("n", [0, 1, 4])
 def test_neighbours_few_rows(spark, n, tmp_path):
     rows = [(100 * i, [float(i), 1.0]) for i in range(n)]
