@@ -384,10 +384,23 @@ def test_neighbours_of_rows_with_different_norms(spark, kind, tmp_path):
         got[r.query_id].add(r.vec_id)
     want = brute_neighbours(vectors)
     recall = sum(len(got[q] & {i for i, _ in want[q]}) for q in want) / (10 * len(want))
-    print("recall", kind, recall)
     assert recall >= 0.95
 
 
+def test_neighbours_graph_grows_until_lists_stay(spark):
+    """From a poor start too, and over more than 2,048 nodes."""
+    x = np.random.default_rng(5).normal(size=(2500, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    index = neighbours.build(df, settings=neighbours.Settings(tables=2, near=1, degree=10, reverse=4, offers=2))
+    links = {r.id: set(r.nbrs) for r in index.adjacency.collect()}
+    nodes = index.nodes.collect()
+    y = np.array([r.vec for r in nodes], dtype=np.float64)
+    d = ((y[:, None, :] - y[None, :, :]) ** 2).sum(axis=2)
+    near = np.argsort(d, axis=1)[:, 1:6]
+    share = np.mean([nodes[j].id in links[nodes[i].id] for i in range(len(nodes)) for j in near[i]])
+    assert share >= 0.8
+
+
 @pytest.mark.parametrize("n", [0, 1, 4])
 def test_neighbours_few_rows(spark, n, tmp_path):
     rows = [(100 * i, [float(i), 1.0]) for i in range(n)]
