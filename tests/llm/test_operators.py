@@ -199,6 +199,23 @@ def test_pii_disclosing_terms(spark):
     assert "zanzibarian" not in clean[0] and "[EMAIL]" in clean[0] and clean[10] == rows[4][1] and clean[900] == rows[-1][1]
 
 
+def test_pii_disclosing_terms_of_whole_documents(spark):
+    """Words of any length and numbers, however far from the entity, at every place of its documents."""
+    far = "common words " * 20
+    rows = [(i, f"Kim 4711 {far} ada@x.org, {far} kim. text number {'abc'[i]}") for i in range(3)]
+    rows += [(10 + i, f"{far} without any address") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(rows[r.doc_id][1][s.start : s.end], s.action) for s in r.added] for r in pii.find(docs).where("doc_id < 3").collect()}
+    assert all([t for t in got[i] if t[0] in ("Kim", "4711", "kim")] == [("Kim", "remove"), ("4711", "remove"), ("kim", "remove")] for i in range(3))
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert "kim" not in clean[0].lower() and "4711" not in clean[0] and "[EMAIL]" in clean[0] and clean[10] == rows[3][1]
+    for text in (rows[0][1], "x a@b.c_d 4111 1111 1111 1111 +1 (234) 555-6789Kim é☃😀 bob@x.yz 10.0.0.1 end", "", "none"):
+        one = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        hidden = one.select(pii._hidden(F.col("text"), pii.base_spans(F.col("text"))).alias("h")).first().h
+        inside = {i for _, s, e in brute_pii(text) for i in range(s, e)}
+        assert hidden == "".join(pii.HIDDEN if i in inside and c.isalnum() else c for i, c in enumerate(text))
+
+
 # 4 -------------------------------------------------------------------------------------------------
 
 
