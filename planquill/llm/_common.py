@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -21,12 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; one of our own only where the session names none."""
+    """The folder that all executors share, and in it one of this application's own. Only a session on one machine
+    may name none; elsewhere a folder of the driver's would lose what executors write."""
     named = spark.conf.get(SCRATCH_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if named is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError(f"set {SCRATCH_SETTING} to a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="planquill-")
         spark.sparkContext.setCheckpointDir(named)
-    return named
+    return f"{named}/planquill-{spark.sparkContext.applicationId}"
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:
@@ -34,15 +38,31 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     lost executor costs a re-read and not a recomputation."""
     path = f"{scratch_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._planquill_path = path
+    return out
 
 
-def dropped(spark: SparkSession, df: DataFrame) -> None:
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def dropped(*tables: DataFrame) -> None:
     """Delete what ``stored`` wrote, once nothing reads it any more."""
-    jvm = spark.sparkContext._jvm
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for df in tables:
+        delete(df.sparkSession, df._planquill_path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application: for callers that have read their results. Those that
+    a returned DataFrame still reads are otherwise left."""
+    delete(spark, scratch_dir(spark))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body (and lambdas in it) uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -16,10 +16,10 @@ def connected(edges: DataFrame) -> DataFrame:
     written table, so a lost executor costs a round at most. Null ends and loops are ignored; an empty
     table has no components.
     """
-    spark = edges.sparkSession
     one = edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
     both = stored(one.select("a", "b").union(one.select(F.col("b"), F.col("a"))).distinct(), "edges")
-    parents = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("p")), "parents")
+    last = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("p")), "parents")
+    parents = last
     while True:
         up = parents.select(F.col("node").alias("p"), F.col("p").alias("gp"))
         grand = parents.join(up, "p").select("node", "p", "gp")
@@ -32,8 +32,8 @@ def connected(edges: DataFrame) -> DataFrame:
         )
         new = stored(offers.groupBy("node").agg(F.min("v").alias("v"), F.max("old").alias("old")).select("node", F.least("v", "old").alias("p"), "old"), "parents")
         moved = new.where(F.col("p") != F.col("old")).limit(1).count()
-        dropped(spark, parents)
-        parents = new.select("node", "p")
+        dropped(last)
+        last, parents = new, new.select("node", "p")
         if not moved:
-            dropped(spark, both)
+            dropped(both)
             return parents.select("node", F.col("p").alias("label"))

@@ -117,8 +117,7 @@ def _candidate_groups(sets: DataFrame) -> DataFrame:
     edges = salted.join(share, ["h", "salt"]).select(F.col("n").alias("a"), F.col("m").alias("b"))
     edges = edges.unionByName(share.join(whole, "h").select(F.col("m").alias("a"), F.col("top").alias("b")))
     groups = connected(edges).select(F.col("node").alias("n"), F.col("label").alias("group"))
-    for done in (shared, members, share):
-        dropped(sets.sparkSession, done)
+    dropped(shared, members, share)
     return groups
 
 
@@ -188,7 +187,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: f
     blocks = groups.select("group", F.ceil(F.greatest(F.col("g") / BLOCK_SETS, F.col("grams") / BLOCK_GRAMS)).cast("int").alias("blocks"))
     members = stored(members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("n"), F.col("blocks")).cast("int")), "blocks")
     spark = docs.sparkSession
-    dropped(spark, candidates)
+    dropped(candidates)
     spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle files of joins that are over
 
     wanted = members.select(F.col("doc_id").alias("w_id"), F.col("k").alias("w_k"))
@@ -216,7 +215,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: f
     labels = connected(verified.select(F.col("n").alias("a"), F.col("root").alias("b")))
     parts = sets.select("n", "sid", "weight", "doc_id").join(linked, "n", "left").where((F.col("weight") > 1) | F.col("links").isNotNull())
     parts = stored(parts.join(labels.withColumnRenamed("node", "n"), "n", "left").withColumn("label", F.coalesce("label", "n")), "parts")
-    dropped(spark, verified)
+    dropped(verified)
     least = parts.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     known = stored(parts.join(least, "label").select("sid", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "classes")
     out = every.select("doc_id", "k", "sid").join(known, "sid", "left")

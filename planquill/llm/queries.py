@@ -43,7 +43,8 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.transform("base", lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")))
     added = F.transform("added", lambda s: F.concat_ws(":", F.lit("term"), s["start"].cast("string"), s["end"].cast("string")))
     counts = [F.expr(f"cast(size(filter(base, s -> s.kind = {k})) as long)").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
-    return found.select("doc_id", *counts, sha(F.array_join(base, ",")).alias("base_sha256"), F.array_join(F.concat(base, added), ",").alias("spans"))
+    every = F.size("base").cast("long") + F.size("added")
+    return found.select("doc_id", *counts, sha(F.array_join(base, ",")).alias("base_sha256"), F.array_join(F.concat(base, added), ",").alias("spans"), every.alias("n_spans"))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -180,40 +180,96 @@ def test_pii_query_and_masking(spark, nasty, nothing, tmp_path):
     assert pii.sanitise(nothing).count() == 0 and pii.find(nothing).count() == 0
 
 
-def test_pii_disclosing_terms(spark):
-    """A rare word that stands beside one address in several texts gives it away; common words do not."""
-    rows = [(i, f"filler{i} common words here: zanzibarian ada@x.org common tail number {i}") for i in range(4)]
-    rows += [(10 + i, f"common words without any address, text number {i} " + "common " * 3) for i in range(300)]
-    rows += [(900, "zanzibarian far from it all")]
+def brute_terms(rows, share=pii.SHARE, most=pii.GENERALISE, remove=pii.REMOVE):
+    """(start, end, action, term) of each text by counting every pair of entity and word by document."""
+    docs = []
+    for _, t in rows:
+        base = brute_pii(t)
+        entities = {(k, re.sub("[^0-9]", "", t[s:e]) if k in ("card", "phone") else t[s:e].lower()) for k, s, e in base}
+        words = [(m.start(), m.end(), m[0]) for m in re.finditer(r"[^\W_]+", t)]
+        docs.append((t, entities, [w for w in words if not any(w[0] < e and s < w[1] for _, s, e in base)], {w[2].lower() for w in words if base} or {w[2].lower() for w in words}))
+    n, n_e, n_t, both = len(docs), Counter(), Counter(), Counter()
+    for _, entities, visible, every in docs:
+        n_e.update(entities)
+        n_t.update(every)
+        both.update((e, w) for e in entities for w in {w[2].lower() for w in visible})
+    left = {}
+    for (e, w), k in both.items():
+        p = n_e[e] / n
+        near = (k + p) / (n_t[w] + 1)
+        if p < 1 and -np.log2(near) <= most and np.log2(near / p) / -np.log2(p) >= share:
+            left[w] = min(left.get(w, 9), -np.log2(near))
+    return [(t, [(s, e, "remove" if left[w.lower()] <= remove else "generalise", w) for s, e, w in visible if entities and w.lower() in left]) for t, entities, visible, _ in docs]
+
+
+def with_people(seed=9, n=400):
+    """Texts of common words, some with one of a few addresses and a rare name or number that goes with it."""
+    rng = random.Random(seed)
+    common = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    people = [("ada@x.org", "Zanzibarian 4711"), ("10.1.2.3", "kraken x9y"), ("+44 20 7946 0958", "Ömer"), ("4111 1111 1111 1111", "quux")]
+    rows = []
+    for i in range(n):
+        words = [rng.choice(common) for _ in range(40)]
+        if i % 13 == 0:
+            for who, tells in rng.sample(people, rng.randint(1, 2)):
+                words[rng.randrange(5)] = who + ","
+                words[rng.randrange(30, 40)] = tells if rng.random() < 0.8 else "nothing"
+        rows.append((i, " ".join(words) + (f" only{i}" if i % 7 == 0 else "")))
+    return rows + [(n, rows[0][1]), (n + 1, "Zanzibarian stands alone"), (n + 2, "")]
+
+
+def test_pii_terms_against_brute_force(spark):
+    rows = with_people()
+    got = {r.doc_id: [tuple(x) for x in r.added] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {d: spans for (d, _), (_, spans) in zip(rows, brute_terms(rows), strict=True)}
+    assert got == want
+    assert {w for spans in want.values() for *_, w in spans} >= {"Zanzibarian", "4711", "kraken", "x9y", "Ömer", "quux"} and not want[len(rows) - 2]
+
+
+def test_pii_terms_are_removed_or_generalised_everywhere(spark):
+    """Words of any length and numbers, however far from the entity, at every place of documents with personal data."""
+    far = "common words " * 30
+    rows = [(i, f"Kim 4711 {far} ada@x.org, {far} kim.") for i in range(4)]
+    rows += [(4, f"Zoe, {far} bob@x.org {far} z9, 77, yes. bo@x.org"), (5, f"kim alone {far} eve@x.org")]
+    rows += [(10 + i, f"{far} without any address, yes" if not i else f"{far} without any address") for i in range(3000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {r.doc_id: r for r in pii.find(docs, remove=0.99).collect()}
-    t = rows[0][1]
-    assert {t[s.start : s.end] for s in found[0].added} >= {"zanzibarian"} and "common" not in {t[s.start : s.end] for s in found[0].added}
-    assert not found[900].added and not found[10].added
-    n, both, entity, term = len(rows), 4, 4, 5
-    pairs = {(r.entity, r.term): r.disclosure for r in pii.disclosing_terms(pii._scan(docs), docs).collect()}
-    key = hashlib.sha256(b"0:ada@x.org").hexdigest()
-    assert "ada@x.org" not in str(pii._scan(docs).collect())
-    assert pairs[(key, "zanzibarian")] == pytest.approx(np.log2(n * both / (entity * term)) / np.log2(n / entity))
-    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
-    assert "zanzibarian" not in clean[0] and "[EMAIL]" in clean[0] and clean[10] == rows[4][1] and clean[900] == rows[-1][1]
-
-
-def test_pii_disclosing_terms_of_whole_documents(spark):
-    """Words of any length and numbers, however far from the entity, at every place of its documents."""
-    far = "common words " * 20
-    rows = [(i, f"Kim 4711 {far} ada@x.org, {far} kim. text number {'abc'[i]}") for i in range(3)]
-    rows += [(10 + i, f"{far} without any address") for i in range(300)]
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).where("doc_id < 11").collect()}
+    assert clean[0] == f"[] [] {far} [EMAIL], {far} []." and clean[10] == rows[6][1]
+    assert clean[4] == f"[NAME], {far} [EMAIL] {far} [CODE], [NUMBER], yes. [EMAIL]"
+    assert clean[5] == f"[] [WORD] {far} [EMAIL]"
+    scan, added = pii.search(docs)
+    assert "ada@" not in str(scan.where("size(entities) > 0").collect()) and added.count() == 3
+
+
+def test_pii_entities_of_the_same_texts_are_one_class(spark):
+    rows = [(i, " ".join(f"u{j}@x.org" for j in range(50)) + f" word{i}") for i in range(3)] + [(9, "u1@x.org z@x.org")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: [(rows[r.doc_id][1][s.start : s.end], s.action) for s in r.added] for r in pii.find(docs).where("doc_id < 3").collect()}
-    assert all([t for t in got[i] if t[0] in ("Kim", "4711", "kim")] == [("Kim", "remove"), ("4711", "remove"), ("kim", "remove")] for i in range(3))
-    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
-    assert "kim" not in clean[0].lower() and "4711" not in clean[0] and "[EMAIL]" in clean[0] and clean[10] == rows[3][1]
-    for text in (rows[0][1], "x a@b.c_d 4111 1111 1111 1111 +1 (234) 555-6789Kim é☃😀 bob@x.yz 10.0.0.1 end", "", "none"):
+    classes = pii.entity_classes(pii.held_texts(docs, pii._scan(docs))).collect()
+    assert len(classes) == 51 and len({r["class"] for r in classes}) == 3 and sorted({r.n_entity for r in classes}) == [1, 3, 4]
+
+
+def test_pii_finds_terms_in_the_given_tables(spark):
+    got = queries.op3_pii(spark, "/root/testdata/sf0.01").collect()
+    assert sum("term:" in r.spans for r in got) >= 20 and all("term:" not in r.spans or r.n_email + r.n_ip + r.n_card + r.n_phone for r in got)
+    assert all(r.n_spans == (r.spans.count(",") + 1 if r.spans else 0) for r in got)
+
+
+def test_pii_words_hide_base_spans(spark):
+    for text in ("Kim 4711 ada@x.org, kim.", "x a@b.c_d 4111 1111 1111 1111 +1 (234) 555-6789Kim é☃😀 bob@x.yz 10.0.0.1 end", "1.2.3.4@x.org 10.0.0.1 4111 1111 1111 1111", "", "none"):
         one = spark.createDataFrame([(1, text)], "doc_id long, text string")
-        hidden = one.select(pii._hidden(F.col("text"), pii.base_spans(F.col("text"))).alias("h")).first().h
-        inside = {i for _, s, e in brute_pii(text) for i in range(s, e)}
-        assert hidden == "".join(pii.HIDDEN if i in inside and c.isalnum() else c for i, c in enumerate(text))
+        got = one.select(pii._words(F.col("text"), pii.base_spans(F.col("text"))).alias("w")).first().w
+        base = brute_pii(text)
+        assert [tuple(w) for w in got] == [(m.start(), m.end(), m[0]) for m in re.finditer(r"[^\W_]+", text) if not any(m.start() < e and s < m.end() for _, s, e in base)]
+
+
+def test_pii_long_texts(spark):
+    """Many spans in one text: time near its length, places exact."""
+    n = 30_000
+    text = " ".join(f"é{i} user{i}@mail.example.com" for i in range(n))
+    docs = spark.createDataFrame([(1, text), (2, "10.0.0.1 " * n)], "doc_id long, text string")
+    got = {r.doc_id: r.base for r in pii.find(docs).collect()}
+    assert [(s.start, s.end) for s in got[1]] == [m.span() for m in re.finditer(r"user[0-9]+@mail.example.com", text)] and len(got[2]) == n
+    assert {r.doc_id: r.text for r in pii.sanitise(docs).collect()}[2] == "[IP] " * n
 
 
 # 4 -------------------------------------------------------------------------------------------------
