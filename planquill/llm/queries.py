@@ -65,10 +65,9 @@ def _joined(spans: str) -> str:
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    ratios = secrets.log_ratios(secrets.transition_counts(docs))
-    found = secrets.find_secrets(docs, ratios)
+    found = secrets.find_secrets(docs, secrets.train(docs))
     counts = [F.expr(f"cast(size(filter(base_only, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in secrets.KINDS]
-    return found.select("doc_id", *counts, sha(F.expr(_joined("base_only"))).alias("base_sha256"), F.expr(_joined("spans")).alias("spans"))
+    return found.select("doc_id", *counts, sha(F.expr(_joined("base_only"))).alias("base_sha256"), F.expr(_joined("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def _edits():

@@ -365,7 +365,7 @@ def test_packing_fast_ids_equal_the_library(spark, nothing):
 
 # 6 -------------------------------------------------------------------------------------------------
 
-SECRETS = {"assign": (r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6), "access": (r"AKIA[A-Z0-9]+", 0, 20), "hex": (r"[0-9a-f]+", 0, 24)}
+SECRETS = {"assign": (r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6), "access": (r"AKIA[A-Z0-9]+", 0, 20), "hex": (r"[0-9a-f]+", 0, 24)}
 
 
 def brute_secrets(t):
@@ -381,29 +381,50 @@ def test_secrets_against_brute_force(spark, nasty, nothing, tmp_path):
         base = brute_secrets(t)
         want[(d, *[sum(k == b[0] for b in base) for k in SECRETS], hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in base).encode()).hexdigest())] += 1
     assert Counter(tuple(r)[:5] for r in got) == want
-    assert secrets.log_ratios(secrets.transition_counts(nothing)) is None
-    assert secrets.find_secrets(nothing, None).count() == 0
+    assert secrets.find_secrets(nothing, secrets.train(nothing)).count() == 0
 
 
 def test_secrets_random_texts():
     rng = random.Random(8)
-    bits = ["token", "API_KEY", "secret", "=", ":", " ", '"', "'", "abc123", "AKIA", "ABCDEFGHIJKLMNOP1234", "deadbeef" * 3, "0f", "é", "\n", "Token: tok: x=yyyyyyy"]
+    bits = ["token", "API_KEY", "secret", "=", ":", " ", '"', "'", "abc123", "AKIA", "ABCDEFGHIJKLMNOP1234", "deadbeef" * 3, "0f", "é", "\n", "Token: tok: x=yyyyyyy", "pa\u017f\u017fword=abcdefgh", "to\u212aen=abcdefgh"]
     for _ in range(4000):
         t = "".join(rng.choice(bits) for _ in range(rng.randint(0, 12)))
         assert [(secrets.KINDS[k], s, e) for k, s, e, _ in secrets.base_spans(t)] == brute_secrets(t)
 
 
-def test_secrets_models_tell_random_strings(spark):
+def test_secrets_models_tell_held_out_strings(spark):
+    """Random strings and identifiers that no fit saw, by rates."""
+    model = secrets.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    drawn = secrets.random_samples(300, seed=101)
+    for name, strings in drawn.items():
+        long = [x for x in strings if len(x) >= 20]
+        assert np.mean([model.random(x) for x in long]) >= 0.95, name
+    ordinary = [x for x in secrets.ordinary_samples(4000, seed=103) if len(x) >= secrets.LEAST]
+    assert np.mean([model.random(x) for x in ordinary]) <= 0.005
+
+
+def test_secrets_scan_finds_random_strings_in_text(spark):
     rng = random.Random(4)
-    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-    key = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
-    words = "the connection_manager handles configuration_settings for internationalization and authentication_provider requests".split()
-    rows = [(i, f"token={key(40)} " + " ".join(rng.choice(words) for _ in range(60))) for i in range(200)]
-    model = secrets.log_ratios(secrets.transition_counts(spark.createDataFrame(rows, "doc_id long, text string")))
-    planted = key(40)
-    out = secrets.find_secrets(spark.createDataFrame([(1, f"see {planted} here"), (2, " ".join(words) + " configuration_settings_internationalization")], "doc_id long, text string"), model).collect()
-    assert [(s.kind, s.start, s.end) for s in {r.doc_id: r.spans for r in out}[1]] == [("random", 4, 44)]
-    assert not {r.doc_id: r.spans for r in out}[2]
+    planted = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40))
+    words = "the connection_manager handles configuration_settings for internationalization and authenticationProviderFactory requests of 2024-05-17/backup".split()
+    docs = spark.createDataFrame([(1, f"see é {planted} here"), (2, " ".join(words) + " configuration_settings_internationalization")], "doc_id long, text string")
+    out = {r.doc_id: r.spans for r in secrets.find_secrets(docs, secrets.train(docs)).collect()}
+    assert [(s.kind, s.start, s.end) for s in out[1]] == [("random", 6, 46)] and not out[2]
+
+
+def test_secrets_random_spans_in_the_given_tables(spark):
+    folder = "/root/testdata/sf0.01"
+    got = {r.doc_id: r.spans for r in queries.op6_secrets(spark, folder).collect()}
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{folder}/documents.parquet'").fetchall())
+    found = {texts[d][int(s):int(e)] for d, spans in got.items() for k, s, e in (x.split(":") for x in spans.split(",") if x) if k == "random"}
+    words = {m[0] for t in texts.values() for m in secrets.RUN.finditer(t) if m[0].isalpha()}
+    assert found and len(found & words) <= 0.01 * len(words)
+
+
+def test_secrets_many_spans_in_one_text():
+    text = "token=abcdef1 " * 20_000 + "deadbeef" * 5 + " 8f3Kq0Zb7LxW2nRt5YvC" * 5000
+    base = secrets.base_spans(text)
+    assert len(secrets.random_spans(text, base, secrets.fit(np.zeros((secrets.SIZE + 1) ** 2)))) == 5000
 
 
 # 7 -------------------------------------------------------------------------------------------------
