@@ -8,8 +8,8 @@ The likeness of two fingerprints is the share of equal sketches, taken to the po
 share of numbered k-mers that the texts have in common.
 
 Defined results: null and empty texts have the fingerprint of no k-mers, equal to each other's (likeness
-1) and to no other's (0); texts of any length are taken whole; rows with the same id stand in order of
-their text; rows without an id come last in descending order; a single document is its own next; an
+1) and to no other's (0); texts of any length are taken whole and every id of the long type is one; rows with the same id stand
+in order of a hash of their text; rows without an id come last in descending order; a single document is its own next; an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -30,7 +30,6 @@ SKETCHES = 40
 BLANK = 0x110000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SEEDS = (np.random.default_rng(11).integers(0, 1 << 63, SKETCHES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-ORDER_BITS = np.uint64(22)
 #: Powers of the base of the rolling hash, by the width of what is joined.
 BASES = {w: np.uint64(pow(0x100000001B3, w, 1 << 64)) for w in (1, 2, 4)}
 
@@ -49,21 +48,17 @@ def numbered_kmers(codes: np.ndarray) -> np.ndarray:
         h = h[:-span] * BASES[span] + h[span:]
         span *= 2
     h = _mixed(h)
-    n = len(h)
-    if n >= 1 << int(ORDER_BITS):
-        order = np.argsort(h, kind="stable")
-        groups = h[order]
-    else:
-        both = np.sort((h >> ORDER_BITS << ORDER_BITS) | np.arange(n, dtype=np.uint64))
-        order = (both & np.uint64((1 << int(ORDER_BITS)) - 1)).astype(np.int64)
-        groups = both >> ORDER_BITS
-    first = np.zeros(n, dtype=np.int64)
-    first[1:] = np.where(groups[1:] != groups[:-1], np.arange(1, n), 0)
-    again = np.arange(n) - np.maximum.accumulate(first)
-    more = np.flatnonzero(again)
-    if len(more):
-        at = order[more]
-        h[at] = _mixed(h[at] + again[more].astype(np.uint64) * MIX)
+    # Only k-mers that occur again need a number.
+    ordered = np.sort(h)
+    repeated = ordered[1:][ordered[1:] == ordered[:-1]]
+    if len(repeated):
+        at = np.flatnonzero(repeated[np.minimum(np.searchsorted(repeated, h), len(repeated) - 1)] == h)
+        at = at[np.argsort(h[at], kind="stable")]
+        groups = h[at]
+        first = np.zeros(len(at), dtype=np.int64)
+        first[1:] = np.where(groups[1:] != groups[:-1], np.arange(1, len(at)), 0)
+        again = np.arange(len(at)) - np.maximum.accumulate(first)
+        h[at] = np.where(again > 0, _mixed(groups + again.astype(np.uint64) * MIX), groups)
     return h
 
 
@@ -112,23 +107,31 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def in_order_with_next(docs: DataFrame) -> DataFrame:
-    """Documents cut into ranges of descending id; each range (``_range``) ends with a copy of the
+    """Documents cut into ranges of their order; each range (``_range``) ends with a copy of the
     first document of the range after it (``_copy``), the last range with the very first document.
 
-    Ids are cut at approximate quantiles, one number a range; what is copied is one document a range.
+    The order is descending id, then hash of the text, then text. Ids are cut at approximate quantiles, one number a range; rows
+    without an id, and those of an id that fills a range or more alone, are cut evenly by the hash. What is copied is one document a range.
     """
     spark = docs.sparkSession
-    d = documents_of(docs)
+    d = documents_of(docs).withColumn("_hash", F.xxhash64("text"))
     parts = max(2, shuffle_partitions(spark))
-    cuts = d.where(F.col("doc_id").isNotNull()).approxQuantile("doc_id", [i / parts for i in range(1, parts)], 1 / (8 * parts))
-    bounds = F.array(*[F.lit(int(c)).cast("long") for c in sorted(set(cuts), reverse=True)]) if cuts else F.array().cast("array<long>")
-    d = d.withColumn("_range", F.when(F.col("doc_id").isNull(), F.lit(parts)).otherwise(F.size(F.filter(bounds, lambda b: b > F.col("doc_id")))))
-    heads = stored(d.groupBy("_range").agg(F.min(F.struct((-F.col("doc_id")).alias("o"), "text")).alias("m")).select("_range", F.col("m.text").alias("text")), "heads")
-    ranges = sorted(r["_range"] for r in heads.select("_range").collect())
-    before = spark.createDataFrame([(r, ranges[i - 1]) for i, r in enumerate(ranges)], "_range int, _to int")
-    copies = heads.join(F.broadcast(before), "_range").select(F.lit(None).cast("long").alias("doc_id"), "text", F.col("_to").alias("_range"), F.lit(True).alias("_copy"))
-    every = d.withColumn("_copy", F.lit(False)).unionByName(copies)
-    return every.repartition(parts, "_range").sortWithinPartitions("_range", "_copy", F.col("doc_id").desc_nulls_last(), "text")
+    found = d.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 8 * parts).alias("cuts")).first()["cuts"] or []
+    cuts = sorted(set(found), reverse=True)
+    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
+    heavy = [c for c in cuts if found.count(c) > 1]
+    crowded = F.col("doc_id").isNull() | (F.col("doc_id").isin(heavy) if heavy else F.lit(False))
+    # Twice as many places as ranges: an odd place is a crowded id's own.
+    place = F.when(F.col("doc_id").isNull(), F.lit(2 * parts)).otherwise(2 * F.size(F.filter(bounds, lambda b: b > F.col("doc_id"))) + crowded.cast("int"))
+    share = F.floor((F.col("_hash") / float(1 << 64) + 0.5) * parts).cast("int")
+    d = d.withColumn("_place", place * (parts + 1) + F.when(crowded, share).otherwise(F.lit(0)))
+    order = F.struct(F.bitwise_not("doc_id").alias("o"), "_hash", "text")
+    heads = stored(d.groupBy("_place").agg(F.min(order).alias("m")).select("_place", F.col("m.text").alias("text")), "heads")
+    places = sorted(r["_place"] for r in heads.select("_place").collect())
+    numbers = spark.createDataFrame([(p, i, (i - 1) % len(places)) for i, p in enumerate(places)], "_place int, _range int, _to int")
+    copies = heads.join(F.broadcast(numbers), "_place").select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("_hash"), F.col("_to").alias("_range"), F.lit(True).alias("_copy"))
+    own = d.join(F.broadcast(numbers), "_place").select("doc_id", "text", "_hash", "_range", F.lit(False).alias("_copy"))
+    return own.unionByName(copies).repartitionById(max(1, len(places)), "_range").sortWithinPartitions("_range", "_copy", F.col("doc_id").desc_nulls_last(), "_hash", "text")
 
 
 def with_edited(docs: DataFrame, edit: Callable[[str, str], str], row: Callable[..., tuple], schema: str) -> DataFrame:

@@ -42,7 +42,7 @@ BASE = {
     "hex": (re.compile(r"[0-9a-f]{24,}"), 0, 24),
 }
 NAMES = (*KINDS, "random")
-CHARACTERS = string.ascii_letters + string.digits + "+/_=-"
+CHARACTERS = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_=-"
 SIZE = len(CHARACTERS)
 #: Class of each byte, SIZE for what is in no key; other characters become '?' before.
 CLASSES = np.full(256, SIZE, dtype=np.int64)
@@ -173,7 +173,10 @@ def fit(words: np.ndarray, held_out: int = 4) -> Model:
     kept = [s for i, s in enumerate(ordinary) if i % held_out]
     common = _chances(_transitions(kept))
     if words.sum():
-        # Words and identifiers weigh the same, however large the corpus is.
+        # Words are written in capitals too. Words and identifiers weigh the same, however large the corpus is.
+        words = words.reshape(SIZE + 1, SIZE + 1).copy()
+        lower, upper = slice(0, 26), slice(26, 52)
+        words[upper, upper] += words[lower, lower]
         common = (common + _chances(words)) / 2
     ratios = []
     for samples in drawn.values():

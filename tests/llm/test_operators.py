@@ -12,6 +12,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from planquill.llm import edit_counts, fingerprints, jaccard_join, line_dedup, neighbours, packing, pii, pretokens, quality, queries, secrets, sentencepiece_codec
@@ -80,6 +81,34 @@ def brute_fingerprint(text: str) -> np.ndarray:
     return ((fingerprints._mixed(np.array(out, dtype=np.uint64)) >> np.uint64(32)) | np.uint64(1)).astype(np.uint32)
 
 
+def text_hash(text: str) -> int:
+    h = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def test_fingerprints_of_extreme_and_crowded_ids(spark):
+    """Ids at both ends of the long type, very many rows without an id, and one id on very many rows."""
+    rows = [(-(2**63), "first of all"), (2**63 - 1, "last of all"), (2**63 - 2, "near the end"), (0, "zero")]
+    rows += [(None, f"no id {i}") for i in range(300)] + [(77, f"same id {i}") for i in range(300)] + [(5, "five"), (78, "six")]
+    df = documents(spark, rows)
+    out = fingerprints.with_edited(df, queries._third_replaced, lambda d, t, e, p: (d, t, e), "doc_id long, a string, e string").collect()
+    order = sorted((d is None, -(d or 0), text_hash(t), t) for d, t in rows)
+    want = Counter((None if gone else -d, t, queries._third_replaced(t, order[(j + 1) % len(order)][3])) for j, (gone, d, _, t) in enumerate(order))
+    assert Counter(map(tuple, out)) == want
+    sizes = Counter(r["_range"] for r in fingerprints.in_order_with_next(df).collect())
+    assert max(sizes.values()) < 150
+
+
+def test_kmers_of_long_texts_are_numbered_alike():
+    """No way of its own beyond any length: a long text's k-mers are those of its parts, numbered on."""
+    rng = np.random.default_rng(3)
+    part = rng.integers(97, 123, 1 << 20).astype(np.uint32)
+    whole = np.concatenate([part] * 5)
+    h = fingerprints.numbered_kmers(whole)
+    assert (h[: len(part)] == fingerprints.numbered_kmers(part)).all()
+    assert len(np.unique(h)) == len(whole)
+
+
 def test_kmers_are_numbered_by_occurrence():
     for text in ("abcdefgh" * 3, "aaaa aaaa aaaa aaaa", "x" * 50, "no repeats: qwertyuiop"):
         codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
@@ -99,10 +128,10 @@ def test_fingerprints_against_brute_force(spark, nasty, tmp_path):
     rows, docs = nasty
     got = queries.op2_order_minhash(spark, tables(tmp_path, documents=docs)).collect()
     texts = plain(rows)
-    order = sorted((d is None, -(d or 0), t, i) for i, (d, t) in enumerate(texts))
+    order = sorted((d is None, -(d or 0), text_hash(t), t, i) for i, (d, t) in enumerate(texts))
     want = []
-    for j, (missing, _, t, i) in enumerate(order):
-        following = order[(j + 1) % len(order)][2]
+    for j, (*_, t, i) in enumerate(order):
+        following = order[(j + 1) % len(order)][3]
         n = len(t) // 3
         edited = t[: len(t) - n] + following[:n]
         prints = [brute_fingerprint(x) for x in (t, edited, following)]
