@@ -43,6 +43,19 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, keys: list[str], tag: str) -> DataFrame:
+    """Like ``stored``, in as many buckets as a shuffle has partitions, each sorted by ``keys``: joins and groupings by
+    them read it without a shuffle."""
+    spark, n = df.sparkSession, shuffle_partitions(df.sparkSession)
+    name = f"planquill_{tag.replace('-', '_')}_{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{name}"
+    written = df.repartition(n, *keys).sortWithinPartitions(*keys).write.bucketBy(n, *keys).sortBy(*keys)
+    written.option("path", path).option("compression", "zstd").saveAsTable(name)
+    out = spark.table(name)
+    out._planquill_path, out._planquill_table = path, name
+    return out
+
+
 def delete(spark: SparkSession, folder: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
@@ -51,6 +64,8 @@ def delete(spark: SparkSession, folder: str) -> None:
 def dropped(*tables: DataFrame) -> None:
     """Delete what ``stored`` wrote, once nothing reads it any more."""
     for df in tables:
+        if hasattr(df, "_planquill_table"):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {df._planquill_table}")
         delete(df.sparkSession, df._planquill_path)
 
 
