@@ -28,8 +28,10 @@ class WordIds:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.processors import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.post_processor = ByteLevel(trim_offsets=False)  # spans of tokens keep the space that opens them
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -50,6 +52,11 @@ class WordIds:
         """Ids of texts as they stand."""
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def spans(self, text: str) -> list[tuple[int, int, int]]:
+        """(start, end, id) of the tokens of a text as it stands, in code points; tokens that share a character overlap."""
+        e = self.tokenizer.encode(text, add_special_tokens=False)
+        return [(s, t, i) for (s, t), i in zip(e.offsets, e.ids, strict=True)]
+
     def words(self, words) -> dict[str, bytes]:
         """Ids of words with a space before each; at least those asked for."""
         if len(self.memo) > MEMO:

@@ -6,11 +6,11 @@ import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import edit_counts, fingerprints, jaccard_join, line_dedup, neighbours, packing, pii, quality, secrets, sentencepiece_codec
-from ._common import sha, table
+from ._common import sha, stored, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -70,12 +70,11 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, sha(F.expr(_joined("base_only"))).alias("base_sha256"), F.expr(_joined("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
-def _edits():
-    """Three edits of every text: a deletion at a third, an insertion at a half, a replacement near the end."""
-    n = F.length("text")
+def _edits(n: Column, opening: Column) -> Column:
+    """Three edits of every text: a deletion at a third, an insertion of its opening at a half, a replacement near the end."""
     def edit(pos, n_del, ins):
         return F.struct(F.floor(pos).cast("int").alias("pos"), F.lit(n_del).alias("n_del"), ins.alias("ins"))
-    return F.array(edit(n / 3, 40, F.lit("")), edit(n / 2, 0, F.substring("text", 1, 60)), edit(n * 0.9, 7, F.lit(" edited words ")))
+    return F.array(edit(n / 3, 40, F.lit("")), edit(n / 2, 0, F.substring(opening, 1, 60)), edit(n * 0.9, 7, F.lit(" edited words ")))
 
 
 def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,8 +87,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return edit_counts.count_with_edits(docs, _edits(), BYTE_BPE, keep_text=False).drop("edited_text")
+    trees = stored(edit_counts.build(table(spark, sf_dir, "documents"), BYTE_BPE), "trees")
+    leaves, (_, n_chars) = F.array_join(F.slice("texts", 1, 60), ""), edit_counts.sums()
+    out = edit_counts.edited(trees.withColumn("edits", _edits(n_chars, leaves)), BYTE_BPE, keep=False)
+    return out.select("doc_id", F.col("n_tokens_before").alias("n_tokens"), F.col("n_tokens").alias("n_tokens_edited"), F.col("n_chars").alias("n_chars_edited"), "n_chars_encoded")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

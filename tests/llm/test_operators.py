@@ -492,12 +492,14 @@ def test_neighbours_recall_and_scores(spark, tmp_path):
         assert all(d == pytest.approx(true[q, i], rel=1e-12, abs=1e-12) for i, d in got[q] if (q, i) in true)
 
 
-@pytest.mark.parametrize("kind", ["outlier", "norms"])
+@pytest.mark.parametrize("kind", ["outlier", "norms", "huge"])
 def test_neighbours_of_rows_with_different_norms(spark, kind, tmp_path):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(1500, 16))
     if kind == "outlier":
         x[7, 3] = 1e6
+    elif kind == "huge":
+        x[7, 3], x[9, 2] = 1e30, 1e4
     else:
         x *= 10.0 ** rng.integers(-3, 4, size=(1500, 1))
     vectors = [(i, v) for i, v in enumerate(x.astype(np.float32))]
@@ -510,6 +512,23 @@ def test_neighbours_of_rows_with_different_norms(spark, kind, tmp_path):
     assert recall >= 0.95
 
 
+def test_neighbours_of_doubles_and_large_groups(spark):
+    """Double columns keep their precision and range; all ids of a large group of equal vectors can be found, and ids may repeat."""
+    rng = np.random.default_rng(8)
+    x = 1e60 * (1 + 1e-12 * rng.normal(size=(600, 8)))
+    vectors = [(i, x[0] if i % 3 == 0 else v) for i, v in enumerate(x)]
+    rows = [(i, v.tolist()) for i, v in vectors] + [(300, x[0].tolist())] * 30 + [(400, x[1].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in neighbours.search(neighbours.build(df), df.where("vec_id % 100 = 0"), k=25).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score, r["rank"]))
+    want = brute_neighbours([*vectors, (1400, x[0])][:600], 25)
+    assert [i for i, *_ in got[300]] == [i for i in range(0, 600, 3) if i != 300][:25] and [r for *_, r in got[300]] == list(range(1, 26))
+    assert len(got[400]) == 50 and len(got[100]) == 25
+    hit = sum(len({i for i, *_ in got[q]} & {i for i, _ in want[q]}) for q in (100, 200, 500))
+    assert hit >= 0.9 * 75
+
+
 def test_neighbours_graph_grows_until_lists_stay(spark):
     """From a poor start too, and over more than 2,048 nodes."""
     x = np.random.default_rng(5).normal(size=(2500, 8)).astype(np.float32)
@@ -612,26 +631,64 @@ def test_edit_counts_equal_a_new_count(spark, nasty, nothing, tmp_path):
     assert edit_counts.count_with_edits(nothing, F.array(), BPE).count() == 0
 
 
+def edited_text(text, edits):
+    for at, cut, ins in edits:
+        at = min(max(at, 0), len(text))
+        text = text[:at] + ins + text[at + max(cut, 0) :]
+    return text
+
+
 def test_edit_trees_follow_random_edits():
     words, rng = pretokens.word_ids(BPE), random.Random(2)
-    rs = lambda n: "".join(rng.choice("ab  .\n\té1'sx") for _ in range(n))
-    for trial in range(400):
-        text = rs(rng.randint(0, 400)) if trial % 2 else " ".join(rs(4) for _ in range(300))
+    alphabets = ["ab  .\n\té1'sx", "abcdefghijklmnop", "the in an er on 'll 've", "日本語漢字かな😀é", "a1.,;-_'lle re\n\n", "x"]
+    for trial in range(900):
+        letters = alphabets[trial % len(alphabets)]
+        rs = lambda n: "".join(rng.choice(letters) for _ in range(n))  # noqa: E731, B023
+        text = rs(rng.randint(0, 900)) if trial % 4 else " ".join(rs(4) for _ in range(300))
         tree = edit_counts.CountTree(words, text)
-        for _ in range(4):
-            at, cut, ins = rng.randint(0, len(text) + 3), rng.choice([0, 0, 1, 5, 50, 500]), rs(rng.choice([0, 1, 3, 30]))
-            tree.edit(at, cut, ins)
-            at = min(at, len(text))
-            text = text[:at] + ins + text[at + cut :]
+        for _ in range(5):
+            edit = rng.randint(0, len(text) + 3), rng.choice([0, 0, 1, 5, 50, 500]), rs(rng.choice([0, 1, 3, 30, 900]))
+            tree.edit(*edit)
+            text = edited_text(text, [edit])
             assert tree.text() == text and tree.length == len(text)
-            assert tree.tokens == len(words.tokenizer.encode(text, add_special_tokens=False).ids)
+            assert tree.tokens == len(words.tokenizer.encode(text, add_special_tokens=False).ids), (trial, text)
+            kept = tree.texts, tree.char_sums, tree.token_sums
+            tree = edit_counts.CountTree(words, kept=kept)
 
 
-def test_edits_encode_a_part_only():
-    words = pretokens.word_ids(BPE)
-    tree = edit_counts.CountTree(words, "some ordinary words again " * 3000)
-    tree.edit(30_000, 5, "new")
-    assert 0 < tree.encoded < 1000
+@pytest.mark.parametrize("kind", ["words", "lines", "letters", "commas", "chinese", "emoji"])
+def test_edits_encode_a_part_only(kind):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8)))
+    text = {"words": " ".join(word() for _ in range(8000)), "lines": "\n".join(word() for _ in range(5000)), "letters": "".join(word() for _ in range(4000)),
+            "commas": ",".join(word() for _ in range(4000)), "chinese": "".join(chr(rng.randint(0x4E00, 0x9FA0)) for _ in range(20_000)), "emoji": "😀🎉é" * 7000}[kind]
+    tree = edit_counts.CountTree(pretokens.word_ids(BPE), text)
+    tree.edit(15_000, 5, "new")
+    assert 0 < tree.encoded < max(0.05 * len(text), 1) and len(tree.texts) > 100
+    assert tree.tokens == len(tree.words.tokenizer.encode(edited_text(text, [(15_000, 5, "new")]), add_special_tokens=False).ids)
+
+
+def test_tree_store_keeps_trees_between_batches(spark, tmp_path):
+    """A second session's batches meet the trees of the first, and encode next to nothing."""
+    rng = random.Random(5)
+    texts = {i: " ".join("".join(rng.choice("etaoinshr") for _ in range(rng.randint(1, 9))) for _ in range(1500)) for i in range(30)} | {40: "", 41: "one"}
+    store = edit_counts.TreeStore(spark, str(tmp_path / "trees"), BPE)
+    store.build(documents(spark, list(texts.items())))
+    tokenizer = pretokens.word_ids(BPE).tokenizer
+    for batch in range(2 * edit_counts.FANOUT):
+        store = edit_counts.TreeStore(spark, str(tmp_path / "trees"), BPE)
+        changes = {d: [(rng.randint(0, len(texts[d])), rng.choice([0, 9]), "edited text")] for d in rng.sample(sorted(texts), 6)}
+        rows = [(d, [(*e,) for e in es]) for d, es in changes.items()] + [(999, [(0, 0, "of no document")])]
+        got = {r.doc_id: r for r in store.edit(spark.createDataFrame(rows, "doc_id long, edits " + edit_counts.EDITS)).collect()}
+        assert set(got) == set(changes)
+        texts |= {d: edited_text(texts[d], es) for d, es in changes.items()}
+        assert sum(r.n_chars_encoded for r in got.values()) < 0.1 * sum(len(texts[d]) for d in changes)
+        assert len(store._tables()) <= edit_counts.FANOUT + 1
+    assert {r.doc_id: (r.n_tokens, r.n_chars) for r in store.counts().collect()} == {d: (len(tokenizer.encode(t, add_special_tokens=False).ids), len(t)) for d, t in texts.items()}
+    with pytest.raises(ValueError):
+        store.build(documents(spark, [(1, "a")]))
+    with pytest.raises(ValueError):
+        edit_counts.TreeStore(spark, str(tmp_path / "other"), BPE).build(documents(spark, [(1, "a"), (1, "b")]))
 
 
 # 10 ------------------------------------------------------------------------------------------------
