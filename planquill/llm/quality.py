@@ -1,6 +1,7 @@
 """Quality classifier: Naive Bayes support vectors over character n-gram indicators.
 
-A document is the set of its character 1-, 2- and 3-grams, hashed into ``BUCKETS`` indicators. Each
+A document is the set of its character 1-, 2- and 3-grams and of the 1- to 5-grams of the sequence that says of each word whether it
+repeats the one before, all hashed into ``BUCKETS`` indicators. Each
 indicator is scaled by the log-count ratio of the classes, a linear hinge-loss model is fitted to
 the scaled indicators by dual coordinate descent with class-balanced costs, and margins
 are turned into probabilities by a logistic curve over cross-validated margins.
@@ -32,28 +33,30 @@ SAMPLE_ROWS = 4_000
 ACCEPT = 0.7
 #: Folds of the sample whose margins, each from a fit on the others, set the logistic curve.
 FOLDS = 4
-#: n-grams of word repeats and the buckets kept for them.
-REPEATS = (("r", 0), ("rr", 1), ("rrr", 2), ("rrrrr", 3))
+#: Longest n-grams of characters, and of the sequence that says of each word whether it repeats the one before.
+CHARACTERS = 3
+REPEATS = 5
 
 
 def indicators(text: str) -> np.ndarray:
     """Sorted buckets of the n-grams in a text."""
-    c = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
     seen = np.zeros(BUCKETS, dtype=bool)
-    for n in (1, 2, 3):
+    words = text.split()
+    again = np.fromiter((a == b for a, b in zip(words, words[1:], strict=False)), dtype=np.uint64, count=max(len(words) - 1, 0))
+    _mark(seen, np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.uint64), range(1, CHARACTERS + 1), 0)
+    _mark(seen, again, range(1, REPEATS + 1), CHARACTERS)
+    return np.flatnonzero(seen)
+
+
+def _mark(seen: np.ndarray, c: np.ndarray, lengths: range, kind: int) -> None:
+    """Mark the buckets of a sequence's n-grams; the hash of one starts from its length and kind."""
+    for n in lengths:
         if len(c) >= n:
-            h = np.full(len(c) - n + 1, n, dtype=np.uint64)
+            h = np.full(len(c) - n + 1, kind + n, dtype=np.uint64)
             for k in range(n):
                 h = (h ^ c[k : len(c) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
                 h ^= h >> np.uint64(29)
             seen[(h >> np.uint64(7)) & np.uint64(BUCKETS - 1)] = True
-    # The same over the sequence that says of each word whether it repeats the one before.
-    words = text.split()
-    again = "".join(["r" if a == b else "-" for a, b in zip(words, words[1:], strict=False)])
-    for gram, bucket in REPEATS:
-        if gram in again:
-            seen[bucket] = True
-    return np.flatnonzero(seen)
 
 
 @dataclass
@@ -169,7 +172,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample
     )
     # The sample has at most sample_rows ids, 12 bytes each: broadcast whatever the corpus.
     chosen = label.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    rows = documents_of(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    # Of an id's several texts the smallest teaches, so that the fit does not depend on the order of rows.
+    rows = documents_of(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     schema = "doc_id long, label int, bits binary"
 
     def work(columns: dict) -> Iterator[tuple]:
