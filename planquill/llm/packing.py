@@ -125,13 +125,13 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
     return rows
 
 
-def numbered(df: DataFrame, by: list[str], order: list, name: str, n: int) -> DataFrame:
-    """Number rows from 0 within each value of ``by``, in salted groups of about GROUP_ROWS rows:
-    rows of a group are numbered together and groups are shifted by what precedes them."""
-    groups = max(1, -(-n // GROUP_ROWS))
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(groups)))
-    keys = [*by, "_salt"]
-    before = Window.partitionBy(*by).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+def numbered(df: DataFrame, counts: DataFrame, order: list, name: str) -> DataFrame:
+    """Number rows from 0 within each length, of which ``counts`` (length, count) tells the rows. Each length is dealt into as many
+    groups of about GROUP_ROWS rows as it needs; rows of a group are numbered together and groups are shifted by what precedes them."""
+    groups = counts.select("length", F.ceil(F.col("count") / GROUP_ROWS).cast("long").alias("_groups"))
+    salted = df.join(F.broadcast(groups), "length").withColumn("_salt", F.pmod(F.xxhash64(*order), F.col("_groups"))).drop("_groups")
+    keys = ["length", "_salt"]
+    before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     shift = salted.groupBy(*keys).count().select(*keys, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_shift"))
     within = salted.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return within.join(shift, keys).withColumn(name, F.col("_rank") - 1 + F.col("_shift")).drop("_salt", "_rank", "_shift")
@@ -141,14 +141,16 @@ def pack(pieces_df: DataFrame, window: int = 2048) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces of ``length`` up to ``window``. Whole pieces fill
     a sequence each; they are numbered after those of the remainders."""
     spark = pieces_df.sparkSession
-    kept = stored(pieces_df, "pieces")
+    # A row's number, written with it, tells rows apart that are alike in all else.
+    kept = stored(pieces_df.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["count"] for r in kept.groupBy("length").count().collect()}
-    whole = counts.pop(window, 0)
+    lengths = spark.createDataFrame(list(counts.items()), "length long, count long")
+    counts.pop(window, None)
     rows = plan(counts, window)
     sequences = max((s + r for _, _, r, s, _ in rows), default=0)
-    order = ["doc_id", "start", "ids_crc32", "text_key"]
+    order = ["doc_id", "start", "ids_crc32", "text_key", "_row"]
     slots = spark.createDataFrame(rows, "slot_length long, first long, repeats long, first_sequence long, offset long")
-    short = numbered(kept.where(F.col("length") < window), ["length"], order, "_number", sum(counts.values()))
+    short = numbered(kept.where(F.col("length") < window), lengths, order, "_number")
     # Slots are a row for each place of each pattern: at most window lengths by some places, so they are broadcast.
     at = (F.col("length") == F.col("slot_length")) & (F.col("_slot") == F.col("first"))
     starts = spark.createDataFrame([(n, sorted(f for m, f, *_ in rows if m == n)) for n in counts], "slot_n long, starts array<long>")
@@ -158,7 +160,7 @@ def pack(pieces_df: DataFrame, window: int = 2048) -> DataFrame:
         .join(F.broadcast(slots), at)
         .withColumn("sequence_id", F.col("first_sequence") + F.col("_number") - F.col("first"))
     )
-    full = numbered(kept.where(F.col("length") == window), ["length"], order, "_number", whole)
+    full = numbered(kept.where(F.col("length") == window), lengths, order, "_number")
     full = full.withColumn("sequence_id", F.col("_number") + sequences).withColumn("offset", F.lit(0).cast("long"))
     columns = [*pieces_df.columns, "sequence_id", "offset"]
     return placed.select(*columns).unionByName(full.select(*columns))
