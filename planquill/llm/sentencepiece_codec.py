@@ -123,6 +123,8 @@ class PieceCodec:
             if ids is None:
                 ids = array("i", self.agenda(part)).tobytes()
                 if len(part) <= MEMO_CHARS:
+                    if memo is self.parts and len(memo) >= MEMO:
+                        memo.clear()
                     memo[key] = ids
             out.append(ids)
             start = i
