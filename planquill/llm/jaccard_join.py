@@ -7,7 +7,8 @@ reaches the target. Band hashes are shuffled alone; sets that share one are link
 smallest of their (salted) bucket, and the components of these links are the groups in which pairs are verified.
 A group is dealt into blocks and each pair of blocks is one task: sets meet there by intersection counts, so no
 pair is a row; a task gives each set its number of links and an edge to the smallest set of
-its part of the spanning forest, whose components are the classes.
+its part of the spanning forest, whose components are the classes. A group of g sets costs g * ceil(g / BLOCK_SETS) set rows and up to g * g / 2
+comparisons in its tasks, be it one of true near copies or a chain of false candidates; no task meets more than two blocks.
 
 Defined results: a null or wordless text has no n-grams, no links, and is its own class; equal texts are
 linked; a row's class id is the smallest doc_id in the class (null only if all are); repeated rows are documents of their own, linked as copies; an
@@ -172,7 +173,8 @@ def _links(threshold: float):
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: float = TARGET_RECALL, hashes: int = MAX_HASHES) -> DataFrame:
-    """doc_id, k (key of the text), class_id and n_links (documents at the threshold or nearer) of every row."""
+    """doc_id, k (key of the text), class_id, n_links (documents at the threshold or nearer) and class_key of every row. Classes
+    have different keys even where ids repeat; a text without n-grams has none."""
     bands, rows = bands_for(threshold, recall, hashes)
     every = stored(signatures(docs, bands, rows, n), "signatures")
     last = F.lit(2**63 - 1)
@@ -217,16 +219,19 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: f
     parts = stored(parts.join(labels.withColumnRenamed("node", "n"), "n", "left").withColumn("label", F.coalesce("label", "n")), "parts")
     dropped(verified)
     least = parts.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    known = stored(parts.join(least, "label").select("sid", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "classes")
+    known = stored(parts.join(least, "label").select("sid", "label", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "classes")
     out = every.select("doc_id", "k", "sid").join(known, "sid", "left")
-    return out.select("doc_id", "k", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return out.select("doc_id", "k", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce(F.hex("label"), F.hex("sid")).alias("class_key"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """``docs``, all columns: of each class the row with the smallest id stays (of rows alike in id and text, one)."""
+    """``docs``, all columns: of each class one row stays, that with the smallest id (null ids last; of ids that repeat, the smallest
+    key of its text; of rows alike in id and text, one). Texts without n-grams all stay but for rows alike."""
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     of = classes(plain, **settings)
-    keep = of.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_jj_id"), F.col("k").alias("_jj_1"), F.col("class_id").alias("_jj_class")).distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")).alias("m")
+    keep = of.where(F.col("class_key").isNotNull()).groupBy("class_key").agg(first).select(F.col("m.doc_id").alias("_jj_id"), F.col("m.k").alias("_jj_1"))
+    keep = keep.unionByName(of.where(F.col("class_key").isNull()).select(F.col("doc_id").alias("_jj_id"), F.col("k").alias("_jj_1")))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.withColumn("_jj_k", F.xxhash64(text)).withColumn("_jj_own", F.col(id_col).cast("long"))
     same = F.col("_jj_own").eqNullSafe(F.col("_jj_id")) & (F.col("_jj_k") == F.col("_jj_1"))

@@ -603,6 +603,16 @@ def test_jaccard_one_of_each(spark, nasty):
     assert ids[7] == 1 and not ids[8] and not ids[9] and ids[19] == 1 and not ids[20] and ids[1] == ids[11] == 1 and ids[10] == 1
 
 
+def test_jaccard_one_of_each_of_repeated_and_null_ids(spark):
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join(base[:j] + ["x"] + base[j + 1 :]) for j in range(3)]
+    other = " ".join(f"o{i}" for i in range(30))
+    rows = [(7, near[0]), (7, near[1]), (7, other), (None, other + " more"), (None, "p q r s t u v"), (None, "p q r s t u v"), (8, near[2]), (9, ""), (None, "")]
+    kept = Counter((r.doc_id, r.text) for r in jaccard_join.one_of_each(documents(spark, rows)).collect())
+    assert sum(n for (_, t), n in kept.items() if t in near) == 1 and not kept[8, near[2]]
+    assert kept[7, other] == 1 and not kept[None, other + " more"] and kept[None, "p q r s t u v"] == 1 and kept[9, ""] == kept[None, ""] == 1
+
+
 def test_bands_meet_the_recall():
     for t in (0.5, 0.8, 0.95):
         b, r = jaccard_join.bands_for(t, 0.99)
@@ -718,6 +728,25 @@ def test_line_runs_compact_and_settle(spark):
     runs.forget()
 
 
+def test_line_runs_meet_later_sessions(spark, tmp_path):
+    """Three tables in turn, each opening the runs of those before; a batch that fails changes nothing."""
+    folder = "file://" + str(tmp_path / "runs")
+    for part in range(3):
+        runs = line_dedup.LineRuns(spark, min_docs=10, folder=folder)
+        for name in runs.runs:
+            spark.sql(f"DROP TABLE {name}")  # another session knows no tables
+        runs = line_dedup.LineRuns(spark, min_docs=10, folder=folder)
+        docs = documents(spark, [(100 * part + i, f"shared\nown {part} {i}") for i in range(4)])
+        out = line_dedup.drop_frequent_lines(docs, runs=runs).collect()
+        assert all(r.n_dropped == (1 if part == 2 else 0) for r in out)
+    before = runs.frequent().count(), runs.runs
+    with pytest.raises(Exception, match="nothing_like_it"):
+        runs.add(docs.select("nothing_like_it"))
+    again = line_dedup.LineRuns(spark, min_docs=10, folder=folder)
+    assert (again.frequent().count(), again.runs) == before == (1, before[1])
+    again.forget()
+
+
 # Queries -------------------------------------------------------------------------------------------
 
 
