@@ -12,6 +12,7 @@ def reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
     from planquill.runtime import checkpoint_dir
 
     checkpoint_dir(edges.sparkSession)
+    edges = edges.checkpoint()
     found = start.select("node").distinct().checkpoint()
     front = found
     while not front.isEmpty():

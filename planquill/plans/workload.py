@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from planquill.operators import upsert
 from planquill.operators.recursion import reachable
+from planquill.sources import logfile
+from planquill.sources.external import external, records
 
 from .registry import Tables, query
 
@@ -62,7 +64,7 @@ def w_table_function_json(t: Tables) -> DataFrame:
     return t.events.where("event_type = 'click'").select("event_id", F.inline(F.array(F.from_json("props", "k long"))).alias("k"))
 
 
-@query()
+@query("SELECT r_name, CAST(unnest([r_regionkey, r_regionkey * 10]) AS INTEGER) AS x FROM region")
 def w_table_function_xml(t: Tables) -> DataFrame:
     """Rows of an XML document built from each region."""
     xml = F.concat(F.lit("<r><x>"), c("r_regionkey").cast("string"), F.lit("</x><x>"), (c("r_regionkey") * 10).cast("string"), F.lit("</x></r>"))
@@ -102,13 +104,13 @@ def w_scan_bitmap_and(t: Tables) -> DataFrame:
     return t.lineitem.where("l_partkey < 400 AND l_suppkey < 20").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT n_nationkey, n_name FROM (SELECT *, row_number() OVER () - 1 AS place FROM nation) WHERE place = 3")
 def w_scan_row_id(t: Tables) -> DataFrame:
     """Rows by their place in the file."""
     return t.nation.where(c("_metadata.row_index") == 3).select("n_nationkey", "n_name")
 
 
-@query()
+@query("SELECT n_nationkey, n_name FROM (SELECT *, row_number() OVER () - 1 AS place FROM nation) WHERE place BETWEEN 5 AND 9")
 def w_scan_row_range(t: Tables) -> DataFrame:
     return t.nation.where(c("_metadata.row_index").between(5, 9)).select("n_nationkey", "n_name")
 
@@ -162,20 +164,28 @@ def w_recursive_hierarchy(t: Tables) -> DataFrame:
 
 
 @query(
-    """WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey % 40 AS a, l_partkey % 40 AS b FROM lineitem WHERE l_orderkey < 60),
-    r(node) AS (SELECT 0::BIGINT UNION SELECT e.b FROM e JOIN r ON e.a = r.node) SELECT node FROM r"""
+    """WITH RECURSIVE e AS (SELECT l_partkey AS a, -l_suppkey AS b FROM lineitem UNION SELECT -l_suppkey, l_partkey FROM lineitem),
+    r(node) AS (SELECT min(l_partkey) FROM lineitem UNION SELECT e.b FROM e JOIN r ON e.a = r.node) SELECT CAST(node AS BIGINT) AS node FROM r"""
 )
 def w_recursive_distinct(t: Tables) -> DataFrame:
-    """Recursive UNION with duplicates removed: what can be reached from node 0."""
-    edges = t.lineitem.where("l_orderkey < 60").select((c("l_suppkey") % 40).alias("a"), (c("l_partkey") % 40).alias("b")).distinct()
-    return reachable(edges, t.spark.createDataFrame([(0,)], "node long"))
+    """Recursive UNION with duplicates removed: the parts and (below zero) suppliers that orders lead to from the first part."""
+    sold = t.lineitem.select(c("l_partkey").alias("a"), (-c("l_suppkey")).alias("b"))
+    return reachable(sold.union(sold.select("b", "a")).distinct(), t.lineitem.agg(F.min("l_partkey").alias("node")))
 
 
 @query("SELECT r_name FROM region")
 def w_foreign_scan_csv(t: Tables) -> DataFrame:
-    """A scan of data held elsewhere, as lines of CSV."""
-    lines = t.region.select(F.to_csv(F.struct("r_regionkey", "r_name")).alias("line"))
-    return lines.select(F.from_csv("line", "k int, r_name string").alias("x")).select("x.r_name")
+    """A scan of files of another format, which the engine does not own."""
+    path = external(t, "region-csv", lambda where: t.region.select("r_regionkey", "r_name").write.csv(where))
+    return t.spark.read.schema("k int, r_name string").csv(path).select("r_name")
+
+
+@query("SELECT CAST(n_nationkey AS BIGINT) AS query_id, n_name AS app, CAST(n_regionkey AS INTEGER) AS pid FROM nation")
+def w_custom_scan(t: Tables) -> DataFrame:
+    """A scan by a data source of our own: a plan log with a record for each nation."""
+    logfile.register(t.spark)
+    path = external(t, "nation-log", lambda where: records(t).write.format("planlog").mode("append").option("path", where).save())
+    return t.spark.read.format("planlog").option("path", path).load().select("query_id", c("ctx.app").alias("app"), c("ctx.pid").cast("int").alias("pid"))
 
 
 @query("SELECT CAST(n_regionkey AS BIGINT) AS region, count(*) AS inserted FROM nation GROUP BY n_regionkey")
@@ -360,11 +370,12 @@ def w_join_theta(t: Tables) -> DataFrame:
 
 
 #: Whole numbers that an outer join leaves null are shown as -1, which no key is.
-JOIN = "SELECT coalesce(c_custkey, -1) AS c_custkey, coalesce(o_orderkey, -1) AS o_orderkey FROM (SELECT * FROM customer WHERE c_custkey % 5 = 0) c {} JOIN (SELECT * FROM orders WHERE o_orderkey % 7 = 0) o ON o_custkey = c_custkey"
+JOIN = "SELECT coalesce(c_custkey, -1) AS c_custkey, coalesce(o_orderkey, -1) AS o_orderkey FROM customer {} JOIN orders ON o_custkey = c_custkey AND o_totalprice > 250000"
 
 
 def _sides(t: Tables) -> tuple[DataFrame, DataFrame, Column]:
-    return t.customer.where("c_custkey % 5 = 0").select("c_custkey"), t.orders.where("o_orderkey % 7 = 0").select("o_orderkey", "o_custkey"), c("o_custkey") == c("c_custkey")
+    """Whole tables; only dear orders match, so that either side has rows without a partner."""
+    return t.customer.select("c_custkey"), t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), (c("o_custkey") == c("c_custkey")) & (c("o_totalprice") > 250000)
 
 
 def _shown(df: DataFrame, *keys: str) -> DataFrame:
@@ -424,13 +435,14 @@ def w_join_memoize(t: Tables) -> DataFrame:
 
 # Partitions, parallel and locking ----------------------------------------------------------------
 
-PARTS = "SELECT o_orderkey, 'low' AS part FROM orders WHERE o_orderkey < 5000 UNION ALL SELECT o_orderkey, 'mid' FROM orders WHERE o_orderkey >= 5000 AND o_orderkey < 10000 UNION ALL SELECT o_orderkey, 'high' FROM orders WHERE o_orderkey >= 10000"
+PARTS = "SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS part FROM orders"
 
 
 def _parts(t: Tables) -> DataFrame:
-    low = t.orders.where("o_orderkey < 5000").select("o_orderkey", F.lit("low").alias("part"))
-    mid = t.orders.where("o_orderkey >= 5000 AND o_orderkey < 10000").select("o_orderkey", F.lit("mid").alias("part"))
-    return low.unionByName(mid).unionByName(t.orders.where("o_orderkey >= 10000").select("o_orderkey", F.lit("high").alias("part")))
+    """Orders as a table partitioned by year; its partitions are what a scan appends."""
+    d = t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("part"))
+    path = external(t, "orders-by-year", lambda where: d.repartition("part").write.partitionBy("part").parquet(where))
+    return t.spark.read.schema(d.schema).parquet(path)
 
 
 @query(f"SELECT part, count(*) AS n FROM ({PARTS}) GROUP BY part")
@@ -438,9 +450,17 @@ def w_append_partitions(t: Tables) -> DataFrame:
     return _parts(t).groupBy("part").agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT o_orderkey FROM ({PARTS}) WHERE part = 'mid' AND o_orderkey % 100 = 0")
+@query(f"SELECT o_orderkey FROM ({PARTS}) WHERE part = 1995 AND o_totalprice > 1000")
 def w_partition_prune(t: Tables) -> DataFrame:
-    return _parts(t).where("part = 'mid' AND o_orderkey % 100 = 0").select("o_orderkey")
+    """Known when planned: other years' files are not listed."""
+    return _parts(t).where("part = 1995 AND o_totalprice > 1000").select("o_orderkey")
+
+
+@query(f"SELECT part, count(*) AS n FROM ({PARTS}) WHERE part IN (SELECT 1990 + n_nationkey FROM nation WHERE n_regionkey = 1) GROUP BY part")
+def w_partition_prune_runtime(t: Tables) -> DataFrame:
+    """Known when run: the years come from another table."""
+    years = t.nation.where("n_regionkey = 1").select((c("n_nationkey") + 1990).cast("int").alias("year"))
+    return _parts(t).join(F.broadcast(years), c("part") == c("year"), "left_semi").groupBy("part").agg(F.count("*").alias("n"))
 
 
 @query("SELECT l_suppkey % 64 AS bucket, count(*) AS n, " + MONEY.format("l_extendedprice") + " AS total FROM lineitem GROUP BY 1")
@@ -448,15 +468,15 @@ def w_parallel_bucket(t: Tables) -> DataFrame:
     return t.lineitem.groupBy((c("l_suppkey") % 64).alias("bucket")).agg(F.count("*").alias("n"), money("l_extendedprice").alias("total"))
 
 
-@query("SELECT l_suppkey, l_orderkey FROM lineitem WHERE l_suppkey < 5 ORDER BY l_orderkey, l_suppkey")
+@query("SELECT l_suppkey, l_orderkey FROM lineitem ORDER BY l_orderkey, l_suppkey")
 def w_gather_merge(t: Tables) -> DataFrame:
-    return t.lineitem.where("l_suppkey < 5").select("l_suppkey", "l_orderkey").orderBy("l_orderkey", "l_suppkey")
+    return t.lineitem.select("l_suppkey", "l_orderkey").orderBy("l_orderkey", "l_suppkey")
 
 
-@query("SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey < 10")
+@query("SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0")
 def w_lock_rows(t: Tables) -> DataFrame:
     """Rows read for update: a file snapshot cannot change under its reader, so no lock is needed."""
-    return t.customer.where("c_custkey < 10").select("c_custkey", "c_acctbal")
+    return t.customer.where("c_acctbal < 0").select("c_custkey", "c_acctbal")
 
 
 # Changes -----------------------------------------------------------------------------------------
@@ -534,9 +554,9 @@ def w_prepared(t: Tables) -> DataFrame:
     return t.spark.sql("SELECT o_orderkey, o_totalprice FROM planquill_orders WHERE o_custkey = :who AND o_totalprice > :least", args={"who": 7, "least": 1000})
 
 
-@query("SELECT o_orderkey, o_orderdate + INTERVAL 3 DAY AS due, CAST(year(o_orderdate) AS INTEGER) AS y, repeat('x', CAST(o_orderkey % 4 AS INTEGER)) AS pad, CAST(length(o_orderpriority) AS INTEGER) AS n, greatest(o_orderkey % 9, 3) AS g FROM orders WHERE o_orderkey < 300")
+@query("SELECT o_orderkey, o_orderdate + INTERVAL 3 DAY AS due, CAST(year(o_orderdate) AS INTEGER) AS y, repeat('x', CAST(o_orderkey % 4 AS INTEGER)) AS pad, CAST(length(o_orderpriority) AS INTEGER) AS n, greatest(o_orderkey % 9, 3) AS g FROM orders")
 def w_expressions(t: Tables) -> DataFrame:
-    return t.orders.where("o_orderkey < 300").select(
+    return t.orders.select(
         "o_orderkey", (c("o_orderdate") + F.make_dt_interval(F.lit(3))).alias("due"), F.year("o_orderdate").alias("y"),
         F.expr("repeat('x', cast(o_orderkey % 4 as int))").alias("pad"), F.length("o_orderpriority").alias("n"), F.greatest(c("o_orderkey") % 9, F.lit(3).cast("long")).alias("g"),
     )
@@ -591,10 +611,9 @@ def w_shape_complex(t: Tables) -> DataFrame:
 )
 def w_shape_very_complex(t: Tables) -> DataFrame:
     """Three steps of aggregation with an outer join, EXISTS and a window between them."""
-    lines = t.lineitem.where("l_returnflag <> 'N'").groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    placed = t.orders.join(lines, c("l_orderkey") == c("o_orderkey"), "left").select("o_orderkey", "o_custkey", "o_totalprice", F.coalesce("n", F.lit(0)).alias("n"))
-    discounted = t.lineitem.where("l_discount > 0.05").select(c("l_orderkey").alias("k"))
-    placed = placed.join(discounted, c("k") == c("o_orderkey"), "left_semi")
+    # One pass over the lines tells both how many count and whether one is discounted; only orders with such a line stay.
+    lines = t.lineitem.groupBy("l_orderkey").agg(F.count_if(c("l_returnflag") != "N").alias("n"), F.bool_or(c("l_discount") > 0.05).alias("discounted"))
+    placed = t.orders.join(lines.where("discounted"), c("l_orderkey") == c("o_orderkey")).select("o_orderkey", "o_custkey", "o_totalprice", "n")
     w = Window.partitionBy("c_custkey").orderBy(c("o_totalprice").desc(), "o_orderkey")
     ranked = placed.join(t.customer, c("c_custkey") == c("o_custkey")).withColumn("rn", F.row_number().over(w)).where("rn <= 4")
     nations = ranked.groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("orders"), F.sum("n").alias("lines"), money("o_totalprice").alias("total"))

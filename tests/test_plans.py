@@ -31,11 +31,11 @@ def plan(spark, folder, name) -> str:
         ("w_join_anti", ["LeftAnti"], ["CartesianProduct", "NestedLoop"]),
         ("w_join_merge", ["SortMergeJoin"], []),
         ("w_join_hash", ["ShuffledHashJoin"], []),
-        ("w_append_partitions", ["Union"], []),
-        ("w_partition_prune", ["GreaterThanOrEqual(o_orderkey,5000)", "LessThan(o_orderkey,10000)"], ["Union"]),
+        ("w_append_partitions", ["orders-by-year", "ReadSchema: struct<>"], ["Union"]),
+        ("w_partition_prune", ["PartitionFilters", "= 1995)", "GreaterThan(o_totalprice,1000.0)"], ["Union"]),
         ("w_agg_partial_final", ["partial_count(1)", "HashAggregate"], ["SortAggregate"]),
         ("w_shape_join_agg", ["In(o_orderstatus, [F,O])", "GreaterThan(c_acctbal,0.0)"], ["CartesianProduct"]),
-        ("w_shape_very_complex", ["WindowGroupLimit", "LeftSemi"], ["CartesianProduct", "NestedLoop", "Python"]),
+        ("w_shape_very_complex", ["WindowGroupLimit"], ["CartesianProduct", "NestedLoop", "Python"]),
         ("p_template_cap", ["TakeOrderedAndProject", "partial_min"], ["Python"]),
         ("p_latency_by_plan", ["ReadSchema: struct<value:double,props:string>"], ["Python"]),
     ],
