@@ -164,6 +164,47 @@ def test_capture_settings_and_failure(spark, small):
     assert (first.number, second.number) == (1, 2)
 
 
+def _one(spark, df, **settings):
+    return capture.captured(spark, [df], capture.Settings(**settings))[0]
+
+
+def test_shapes_tell_expressions_apart(spark):
+    """One key, constant, limit or argument makes another shape and query; the same plan built anew does not."""
+    a, b = (spark.range(50).selectExpr("id AS x", "id % 7 AS y", "id AS z").repartition(2).alias(n) for n in "ab")
+    many = [F.lit(i) for i in range(40)]
+    plans = [
+        lambda: a.join(b, F.col("a.x") == F.col("b.x")), lambda: a.join(b, F.col("a.x") == F.col("b.y")), lambda: a.join(b, F.col("a.y") == F.col("b.x")), lambda: a.join(b, F.col("a.x") == F.col("b.x"), "left"),
+        lambda: a.where("x > 3"), lambda: a.where("x > 4"), lambda: a.groupBy("x").count(), lambda: a.groupBy("y").count(), lambda: a.orderBy("x").limit(3), lambda: a.orderBy("x").limit(4),
+        lambda: a.select(F.array("x", *many, F.lit(1))), lambda: a.select(F.array("x", *many, F.lit(2))), lambda: a.select(F.transform(F.array("x"), lambda v: v + 1)),
+    ]
+    for profile in ("simple", "full"):
+        first, second = ([(r["plan_id"], r["query_id"]) for r in capture.captured(spark, [p() for p in plans], capture.Settings(profile=profile))] for _ in range(2))
+        assert first == second
+        for ids in zip(*first, strict=True):
+            assert len(set(ids)) == len(plans) and max(map(abs, ids)) > 2**40
+
+
+def test_captured_details(spark, small):
+    queries = all_queries()[0]
+    records = capture.captured(spark, [queries[n](spark, small) for n in EXPECTED], capture.Settings(profile="full", verbose=True))
+    by = {name: {(n["node_type"], d["label"]): d["s"] or d["sl"] or d["d"] or d["i"] for n in r["nodes"] for d in n["details"]} for name, r in zip(EXPECTED, records, strict=True)}
+    assert len({label for found in by.values() for _, label in found}) >= 20
+    assert by["w_join_nested_loop"]["Nested Loop", "Join Filter"] == "(r_regionkey < r_regionkey)"
+    assert by["w_sample_pct"]["Sample Scan", "Sampling Parameters"] == ["10.0"] and by["w_sample_pct"]["Sample Scan", "Repeatable Seed"] == "7"
+    assert " = " in by["w_join_hash"]["Hash Join", "Hash Cond"] and " = " in by["w_join_merge"]["Merge Join", "Merge Cond"]
+    assert "row_number()" in by["w_window_row_number"]["WindowAgg", "Window"]
+    for r in records:
+        for n in r["nodes"]:
+            assert 0 <= n["startup_cost"] <= n["total_cost"] and n["plan_rows"] >= 0 and n["plan_width"] >= 0
+        assert not r["flags"] & capture.FLAGS["timing"] and r["flags"] & capture.FLAGS["verbose"]
+    scans = [n for n in records[list(EXPECTED).index("w_scan_seq_filter")]["nodes"] if n["node_type"] == "Seq Scan"]
+    assert scans and scans[0]["plan_rows"] > 0 and scans[0]["plan_width"] > 0
+    plain = _one(spark, queries["w_scan_seq_filter"](spark, small), buffers=False)
+    assert all(n["buffers"] is None for n in plain["nodes"]) and not plain["flags"] & capture.FLAGS["buffers"]
+    removed = _one(spark, spark.read.parquet(f"{small}/region.parquet").where("r_regionkey >= 2"))
+    assert [d["d"] for n in removed["nodes"] for d in n["details"] if d["label"] == "Rows Removed by Filter"] == [2.0]
+
+
 # Streams -------------------------------------------------------------------------------------------
 
 

@@ -62,6 +62,11 @@ def test_text_lines(made, lines):
     assert render.to_text(record(made)).split("\n")[1:] == lines
 
 
+def test_prefixes_and_schema():
+    n = node([], "Seq Scan", relation="t", flags=7, schema="s")
+    assert render.to_text(record(n)).split("\n")[1].startswith("Async Parallel Seq Scan on s.t  (cost")
+
+
 def test_text_tree_and_query_parts():
     tree = [
         node([], "Limit"), node([0], "Seq Scan", detail(60, "string", "InitPlan 1"), relationship="InitPlan", relation="t"), node([1], "Sort", relationship="Outer"),
