@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from planquill.runtime import ship
 
 
-def _fold(log: DataFrame, stream: str, order: list[str], measure: str, limit: float, by_age: bool) -> DataFrame:
+def _fold(log: DataFrame, stream: str, order: list[str], measure: str, limit: float, by_age: bool = False, after: bool = False) -> DataFrame:
     ship(log.sparkSession)
     schema = StructType([*log.schema.fields, StructField("file_index", LongType())])
 
@@ -34,7 +34,7 @@ def _fold(log: DataFrame, stream: str, order: list[str], measure: str, limit: fl
                     if not first and x - held > limit:
                         index, held = index + 1, x
                 else:
-                    if held > 0 and held + x > limit:
+                    if held > 0 and (held >= limit if after else held + x > limit):
                         index, held = index + 1, 0
                     held += x
                 out.append(index)
@@ -44,9 +44,10 @@ def _fold(log: DataFrame, stream: str, order: list[str], measure: str, limit: fl
     return sorted_.mapInPandas(run, schema)
 
 
-def by_size(log: DataFrame, most: int, stream: str, order: list[str], size: str = "record_bytes") -> DataFrame:
-    """Before a record that would make a non-empty file larger than ``most``, a new file begins."""
-    return _fold(log, stream, order, size, most, by_age=False)
+def by_size(log: DataFrame, most: int, stream: str, order: list[str], size: str = "record_bytes", after: bool = False) -> DataFrame:
+    """Before a record that would make a non-empty file larger than ``most``, a new file begins; ``after`` the fact: the
+    record that brings a file to ``most`` is its last."""
+    return _fold(log, stream, order, size, most, after=after)
 
 
 def by_age(log: DataFrame, most_seconds: float, stream: str, order: list[str], seconds: str) -> DataFrame:

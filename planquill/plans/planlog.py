@@ -177,6 +177,12 @@ def p_rotate_size(t: Tables) -> DataFrame:
     return rotation.by_size(log(t), 2000, "app", ORDER).select("record_no", "app", "file_index")
 
 
+@query(SIZE_FOLD.replace("r.held + l.b > 2000", "r.held >= 2000") + " SELECT record_no, app, file_index FROM r")
+def p_rotate_size_after(t: Tables) -> DataFrame:
+    """As a writer does that has a file of its own: the record that fills it is its last."""
+    return rotation.by_size(log(t), 2000, "app", ORDER, after=True).select("record_no", "app", "file_index")
+
+
 @query(
     f"""WITH RECURSIVE l AS (SELECT app, record_no, CAST(epoch(ts) AS BIGINT) AS s, row_number() OVER (PARTITION BY app ORDER BY ts, record_no) AS rn FROM {LOG}),
     r AS (SELECT app, record_no, rn, s AS opened, CAST(0 AS BIGINT) AS file_index FROM l WHERE rn = 1 UNION ALL

@@ -27,6 +27,7 @@ class WriterSettings:
     flush_bytes: int = 1 << 20  # 0: every record at once
     rotate_seconds: float = 24 * 3600  # 0: never
     rotate_bytes: int = 1 << 30  # 0: never
+    rotate_after: bool = False  # the record that brings a file to rotate_bytes is its last, as where no other writes to it
     truncate: bool = False  # begin an existing file of the same name anew, when time rotates
     keep_files: int = 0  # 0: all
     keep_bytes: int = 0
@@ -67,7 +68,8 @@ class LogWriter:
         elif s.rotate_seconds and self.clock() - self.opened > s.rotate_seconds:
             self._next(record, by_time=True)
         data = self._bytes(record)
-        if s.rotate_bytes and self.size + len(self.pending) > 0 and self.size + len(self.pending) + len(data) > s.rotate_bytes:
+        held = self.size + len(self.pending)
+        if s.rotate_bytes and held > 0 and (held >= s.rotate_bytes if s.rotate_after else held + len(data) > s.rotate_bytes):
             self._next(record, by_time=False)
             data = self._bytes(record)
         self.pending += data

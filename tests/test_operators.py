@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -24,14 +25,14 @@ def log_rows(seed: int, n: int = 300) -> list[tuple]:
 SCHEMA = "record_no long, ts timestamp_ntz, query_id long, shape long, app string, record_bytes long"
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_size_rotation_equals_simulation(spark, seed):
+@pytest.mark.parametrize(("seed", "after"), [(0, False), (1, False), (2, True), (3, True)])
+def test_size_rotation_equals_simulation(spark, seed, after):
     rows = log_rows(seed)
-    got = {r.record_no: r.file_index for r in rotation.by_size(spark.createDataFrame(rows, SCHEMA), 200, "app", ["ts", "record_no"]).collect()}
+    got = {r.record_no: r.file_index for r in rotation.by_size(spark.createDataFrame(rows, SCHEMA), 200, "app", ["ts", "record_no"], after=after).collect()}
     for app in "ab":
         held = index = 0
         for r in sorted((x for x in rows if x[4] == app), key=lambda x: (x[1], x[0])):
-            if held > 0 and held + r[5] > 200:
+            if held >= 200 if after else held > 0 and held + r[5] > 200:
                 held, index = 0, index + 1
             held += r[5]
             assert got[r[0]] == index
@@ -205,6 +206,24 @@ def test_captured_details(spark, small):
     assert [d["d"] for n in removed["nodes"] for d in n["details"] if d["label"] == "Rows Removed by Filter"] == [2.0]
 
 
+def test_fast_path_and_context(spark):
+    """A plan object that runs again keeps its shape unread, until it is due to be read again."""
+    for recheck, hits in ((0, 4), (2, 3)):
+        out = []
+        c = capture.Capture(spark, out.extend, capture.Settings(profile="full", fast_path_recheck=recheck)).start()
+        df = spark.range(9).where("id > 2")
+        for _ in range(5):
+            df.collect()
+        spark.range(9).where("id > 3").collect()
+        c.stop()
+        assert c.failed is None and c.fast_hits == hits, recheck
+        assert [r["template"]["mode"] for r in out] == ["define"] + ["ref"] * 4 + ["define"] and len({r["plan_id"] for r in out}) == 2
+    slow = capture.captured(spark, [spark.range(9).where("id > 2")] * 2, capture.Settings(fast_path=False))
+    assert slow[0]["plan_id"] == slow[1]["plan_id"]
+    ctx, file = slow[0]["ctx"], slow[0]["file"]
+    assert ctx["pid"] == os.getpid() and ctx["client_host"] and ctx["auth_user"] and file["pid"] == ctx["pid"] and file["server_start"] < slow[0]["ts"]
+
+
 # Streams -------------------------------------------------------------------------------------------
 
 

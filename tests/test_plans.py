@@ -50,4 +50,4 @@ def test_plan(spark, small, name, there, absent):
 
 def test_only_folds_run_python(spark, small):
     """Of all queries over tables and log, only the sequential folds leave the JVM."""
-    assert {n for n in QUERIES if "Python" in (p := plan(spark, small, n)) or "Pandas" in p or "Arrow" in p} == {"p_rotate_size", "p_rotate_age"}
+    assert {n for n in QUERIES if "Python" in (p := plan(spark, small, n)) or "Pandas" in p or "Arrow" in p} == {"p_rotate_size", "p_rotate_size_after", "p_rotate_age"}

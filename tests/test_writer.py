@@ -54,6 +54,14 @@ def test_rotation_defines_again(tmp_path):
         assert all(r["nodes"] == _two_nodes() for r in f)
 
 
+def test_rotation_after_the_fact(tmp_path):
+    one = len(codec.record_bytes(rec(), 0))
+    w = LogWriter(WriterSettings(str(tmp_path), codec="none", flush_bytes=0, rotate_bytes=2 * one + 1, rotate_after=True))
+    w([rec()] * 7)
+    w.close()
+    assert [len(f) for f in read(tmp_path)] == [3, 3, 1]
+
+
 def test_age_names_and_retention(tmp_path):
     now = [1_700_000_000.0]
     w = LogWriter(WriterSettings(str(tmp_path), prefix="a", pattern="%Y%m%d%H%M", rotate_seconds=60, keep_files=3, cleanup_seconds=0, flush_bytes=0), clock=lambda: now[0])
