@@ -55,27 +55,43 @@ def by_age(log: DataFrame, most_seconds: float, stream: str, order: list[str], s
     return _fold(log, stream, order, seconds, most_seconds, by_age=True)
 
 
+def _matched(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """An inner join on ``keys`` in which nulls meet, keeping the left side's keys."""
+    other = right.withColumnsRenamed({k: f"_r{i}" for i, k in enumerate(keys)})
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_r{i}"))
+    return left.join(other, on).drop(*[f"_r{i}" for i in range(len(keys))])
+
+
 def running_total(df: DataFrame, value: Column, bucket: Column, order: list[str], name: str, within: list[str] | None = None) -> DataFrame:
     """Running sum in an order, by buckets of it: sums within buckets, shifted by what earlier buckets
-    hold. Only a row for each bucket meets in one task."""
+    hold. Only a row for each bucket meets in one task. Null buckets and streams are ones of their own, nulls first."""
     within = within or []
     d = df.withColumns({"_b": bucket, "_v": value})
     before = Window.partitionBy(*within).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     sums = d.groupBy(*within, "_b").agg(F.sum("_v").alias("_s")).select(*within, "_b", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_shift"))
     inside = Window.partitionBy(*within, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return d.withColumn("_in", F.sum("_v").over(inside)).join(sums, [*within, "_b"]).withColumn(name, F.col("_in") + F.col("_shift")).drop("_b", "_v", "_in", "_shift")
+    both = _matched(d.withColumn("_in", F.sum("_v").over(inside)), sums, [*within, "_b"])
+    return both.withColumn(name, F.col("_in") + F.col("_shift")).drop("_b", "_v", "_in", "_shift")
 
 
 def on_request(log: DataFrame, requested: Column, bucket: Column, order: list[str]) -> DataFrame:
-    """Each request begins a new file with the record that carries it."""
+    """Each request begins a new file with the record that carries it; a null is no request."""
     return running_total(log, F.when(requested, 1).otherwise(0), bucket, order, "file_index")
 
 
-def on_change(log: DataFrame, setting: str, stream: str, order: list[str]) -> DataFrame:
-    """A changed setting begins a new file."""
-    w = Window.partitionBy(stream).orderBy(*order)
-    changed = F.coalesce(F.col(setting) != F.lag(setting).over(w), F.lit(False)).cast("long")
-    return log.withColumn("_c", changed).withColumn("file_index", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_c")
+def on_change(log: DataFrame, setting: str, stream: str, order: list[str], bucket: Column) -> DataFrame:
+    """A changed setting begins a new file; a null is no change. A bucket's first record is held against the last setting
+    of the bucket before it, so no task meets more of a stream than a bucket."""
+    d = log.withColumn("_p", bucket)
+    last = d.groupBy(stream, "_p").agg(F.max_by(setting, F.struct(*order)).alias("_last"))
+    ends = last.select(stream, "_p", F.lag("_last").over(Window.partitionBy(stream).orderBy("_p")).alias("_end"))
+    inside = Window.partitionBy(stream, "_p").orderBy(*order)
+    d = _matched(d, ends, [stream, "_p"])
+    before = F.when(F.row_number().over(inside) == 1, F.col("_end")).otherwise(F.lag(setting).over(inside))
+    d = d.withColumn("_c", F.coalesce(F.col(setting) != before, F.lit(False)).cast("long"))
+    return running_total(d, F.col("_c"), F.col("_p"), order, "file_index", [stream]).drop("_p", "_end", "_c")
 
 
 def file_name(prefix: Column, ts: Column, pattern: str, pid: Column, index: Column) -> Column:

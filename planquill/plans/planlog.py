@@ -205,7 +205,7 @@ def p_rotate_manual(t: Tables) -> DataFrame:
     SELECT record_no, CAST(sum(ch) OVER (PARTITION BY app ORDER BY ts, record_no ROWS UNBOUNDED PRECEDING) AS BIGINT) AS file_index FROM d"""
 )
 def p_rotate_settings(t: Tables) -> DataFrame:
-    return rotation.on_change(log(t).withColumn("codec", F.when(c("shape") < 50, "lz4").otherwise("zstd")), "codec", "app", ORDER).select("record_no", "file_index")
+    return rotation.on_change(log(t).withColumn("codec", F.when(c("shape") < 50, "lz4").otherwise("zstd")), "codec", "app", ORDER, F.to_date("ts")).select("record_no", "file_index")
 
 
 FILES = f"(SELECT app AS prefix, app || '-' || strftime(ts, '%Y%m%d%H') AS path, max(ts) AS mtime, CAST(sum(record_bytes) AS BIGINT) AS bytes FROM {LOG} GROUP BY 1, 2)"

@@ -38,6 +38,27 @@ def test_size_rotation_equals_simulation(spark, seed, after):
             assert got[r[0]] == index
 
 
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_rotation_by_buckets_equals_simulation_with_nulls(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, None if rng.random() < 0.05 else t, q, rng.choice([1, 2, 2, 2, None]), rng.choice(["a", "b", None]), b) for i, t, q, _, _, b in log_rows(seed)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    order = sorted(rows, key=lambda x: (x[1] is not None, x[1] or T0, x[0]))
+    got = {r.record_no: r.file_index for r in rotation.on_change(frame, "shape", "app", ["ts", "record_no"], F.to_date("ts")).collect()}
+    assert len(got) == len(rows)
+    for app in ("a", "b", None):
+        index, before = 0, None
+        for r in (x for x in order if x[4] == app):
+            index += r[3] is not None and before is not None and r[3] != before
+            before = r[3]
+            assert got[r[0]] == index
+    got = {r.record_no: r.file_index for r in rotation.on_request(frame, F.col("shape") == 1, F.to_date("ts"), ["ts", "record_no"]).collect()}
+    index = 0
+    for r in order:
+        index += r[3] == 1
+        assert got[r[0]] == index
+
+
 @pytest.mark.parametrize(("files", "size"), [(3, 0), (0, 150), (2, 100), (0, 0)])
 def test_retention_equals_deleting_oldest_first(spark, files, size):
     rng = random.Random(files + size)
