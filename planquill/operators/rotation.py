@@ -40,7 +40,8 @@ def _fold(log: DataFrame, stream: str, order: list[str], measure: str, limit: fl
                 out.append(index)
             yield frame.assign(file_index=out)
 
-    sorted_ = log.repartition(stream).sortWithinPartitions(stream, *order)
+    # Null times come last, as in the SQL: first in its file, one would leave the file without an age.
+    sorted_ = log.repartition(stream).sortWithinPartitions(stream, *[F.col(o).asc_nulls_last() for o in order])
     return sorted_.mapInPandas(run, schema)
 
 

@@ -273,3 +273,23 @@ def test_streams_equal_batches(spark, small, tmp_path):
     for kind, n in seen:
         total[kind] = total.get(kind, 0) + n
     assert total == {r.event_type: r["count"] for r in batch.groupBy("event_type").count().collect()}
+
+
+def against_sql(spark, duckdb, folder, name):
+    """Rows of a query over the events of a folder that its SQL lacks, or the other way."""
+    import __spark_entry__ as entry
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet'")
+    frame = entry.queries()[name](spark, str(folder))
+    frame.toPandas().to_parquet(f"{folder}/got.parquet")
+    got, want = f"SELECT {', '.join(frame.columns)} FROM '{folder}/got.parquet'", f"SELECT {', '.join(frame.columns)} FROM ({entry.oracle_sql()[name]})"
+    return con.execute(f"({got} EXCEPT ALL {want}) UNION ALL ({want} EXCEPT ALL {got})").fetchall()
+
+
+def test_rotation_by_age_takes_the_nearest_second_and_null_times_last(spark, tmp_path):
+    import duckdb
+
+    con, nulls = duckdb.connect(), "CASE WHEN i % 50 = 3 THEN NULL ELSE TIMESTAMP '1969-12-20' + to_microseconds(i * i % 9973 * 21600100 + i * 21600500000 - i % 7 * 500000) END"
+    con.execute(f"COPY (SELECT i AS event_id, {nulls} AS ts, i % 3 AS user_id, 'a' || i % 2 AS event_type, 1.5 AS value, '{{\"k\": 1}}' AS props FROM range(400) r(i)) TO '{tmp_path}/events.parquet'")
+    assert not against_sql(spark, duckdb, tmp_path, "p_rotate_age")
