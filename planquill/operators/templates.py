@@ -13,8 +13,8 @@ SMALL = 100_000
 RANGES = 256
 
 
-def admitted(log: DataFrame, key: list[str], order: list[str], cap: int = MAX_TEMPLATES, within: list[str] | None = None) -> DataFrame:
-    """(within.., key.., first, template_id) of the first ``cap`` shapes seen, numbered by first sight.
+def admitted(log: DataFrame, key: list[str], order: list[str], cap: int | None = MAX_TEMPLATES, within: list[str] | None = None) -> DataFrame:
+    """(within.., key.., first, template_id) of the first ``cap`` shapes seen (None: of all), numbered by first sight.
 
     First sights are found by a map-side minimum. Without ``within`` a small cap is a top-k, so no window ever
     meets more than ``cap`` rows, and beyond ``SMALL`` rows are numbered range by range; with it, dictionaries are numbered apart."""
@@ -22,25 +22,26 @@ def admitted(log: DataFrame, key: list[str], order: list[str], cap: int = MAX_TE
     first = log.groupBy(*within, *key).agg(F.min(F.struct(*order)).alias("first"))
     if within:
         w = Window.partitionBy(*within).orderBy("first")
-        return first.withColumn("template_id", F.row_number().over(w)).where(F.col("template_id") <= cap).withColumn("template_id", F.col("template_id").cast("long"))
-    if cap > SMALL:
+        numbered = first.withColumn("template_id", F.row_number().over(w).cast("long"))
+        return numbered if cap is None else numbered.where(F.col("template_id") <= cap)
+    if cap is None or cap > SMALL:
         # Ranges of the first column of the order: what is in a range is numbered there, and shifted by what is before it.
         at = F.col(f"first.{order[0]}")
         cuts = first.agg(F.percentile_approx(at, [i / RANGES for i in range(1, RANGES)], 10 * RANGES).alias("c")).first()["c"] or []
         bounds = F.array(*[F.lit(x) for x in sorted(set(cuts))]).cast(f"array<{first.select(at).dtypes[0][1]}>")
         numbered = running_total(first, F.lit(1).cast("long"), F.size(F.filter(bounds, lambda b: b < at)), ["first"], "template_id")
-        return numbered.where(F.col("template_id") <= cap)
+        return numbered if cap is None else numbered.where(F.col("template_id") <= cap)
     top = first.orderBy("first").limit(cap)
     return top.withColumn("template_id", F.row_number().over(Window.orderBy("first")).cast("long"))
 
 
-def with_mode(log: DataFrame, key: list[str], order: list[str], cap: int = MAX_TEMPLATES, within: list[str] | None = None, eligible: Column | None = None) -> DataFrame:
+def with_mode(log: DataFrame, key: list[str], order: list[str], cap: int | None = MAX_TEMPLATES, within: list[str] | None = None, eligible: Column | None = None) -> DataFrame:
     """Add ``template_mode`` (none, define, ref) and ``template_id``."""
     fit = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
     some = log.where(fit) if eligible is not None else log
     names = admitted(some, key, order, cap, within)
     on = [*(within or []), *key]
-    right = F.broadcast(names) if not within and cap <= SMALL else names  # without ``within`` there are cap rows at most
+    right = F.broadcast(names) if not within and cap is not None and cap <= SMALL else names  # without ``within`` there are cap rows at most
     joined = log.withColumn("_fit", fit).join(right, on, "left")
     known = F.col("_fit") & F.col("template_id").isNotNull()
     mode = F.when(~known, "none").when(F.struct(*order) == F.col("first"), "define").otherwise("ref")

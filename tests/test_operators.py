@@ -293,3 +293,12 @@ def test_rotation_by_age_takes_the_nearest_second_and_null_times_last(spark, tmp
     con, nulls = duckdb.connect(), "CASE WHEN i % 50 = 3 THEN NULL ELSE TIMESTAMP '1969-12-20' + to_microseconds(i * i % 9973 * 21600100 + i * 21600500000 - i % 7 * 500000) END"
     con.execute(f"COPY (SELECT i AS event_id, {nulls} AS ts, i % 3 AS user_id, 'a' || i % 2 AS event_type, 1.5 AS value, '{{\"k\": 1}}' AS props FROM range(400) r(i)) TO '{tmp_path}/events.parquet'")
     assert not against_sql(spark, duckdb, tmp_path, "p_rotate_age")
+
+
+def test_eligible_templates_have_no_limit_and_null_keys(spark, tmp_path):
+    import duckdb
+
+    con = duckdb.connect()
+    user, props = "CASE WHEN i % 100000 = 4 THEN NULL ELSE 2 * (i % 1000300) + i % 1000300 % 5 // 4 * 2 + 1 END", "CASE WHEN i % 1000 = 7 THEN NULL ELSE '{\"k\": 1}' END"
+    con.execute(f"COPY (SELECT i AS event_id, TIMESTAMP '2024-01-01' + to_seconds(i) AS ts, {user} AS user_id, 'a' AS event_type, 1.5 AS value, {props} AS props FROM range(1300600) r(i)) TO '{tmp_path}/events.parquet'")
+    assert not against_sql(spark, duckdb, tmp_path, "p_template_eligible")
