@@ -10,8 +10,9 @@ but beside an entity leaves a full bit if seen in one document, and ever less th
 
 A term is sanitised that discloses ``SHARE`` or more of an entity's information and leaves ``GENERALISE`` bits
 or less: removed (replaced by ``GONE``) where it leaves ``REMOVE`` bits or less, else generalised to its category (number, code, name
-or word), which half the corpus shares. It goes wherever it stands in documents that hold personal data; documents without a base
-span are not changed.
+or word), which half the corpus shares. It goes wherever it stands in documents that hold personal data, and with ``everywhere`` in all
+others too, as it discloses its entity there as well. Those are read once more, and only for terms that more documents hold
+than those with base spans.
 
 Entities that are in the same documents are one class, as nothing tells them apart: a text with very many
 addresses is counted once against its words, not once for each.
@@ -195,23 +196,51 @@ def category(term: Column) -> Column:
     )
 
 
-def search(docs: DataFrame, share: float = SHARE, generalise: float = GENERALISE, remove: float = REMOVE) -> tuple[DataFrame, DataFrame]:
+def search(docs: DataFrame, share: float = SHARE, generalise: float = GENERALISE, remove: float = REMOVE, everywhere: bool = False) -> tuple[DataFrame, DataFrame]:
     """Two written tables: (doc_id, k1, k2, base, entities) with a row for each document, and (k1, k2, added) with one
     for each text that has disclosing terms."""
     scan = _scan(docs)
     texts = held_texts(docs, scan)
     flagged = disclosing_terms(scan, texts, docs, share, generalise, remove)
-    terms = stored(flagged.groupBy(F.col("term").alias("low")).agg(F.min("left").alias("left")), "pii-flagged")
+    terms = stored(flagged.groupBy(F.col("term").alias("low")).agg(F.min("left").alias("left"), F.first("n_term").alias("n_term")), "pii-flagged")
     few = terms.count() <= BROADCAST_ROWS
-    words = texts.select("k1", "k2", F.explode("words").alias("w")).select("k1", "k2", "w.*", F.lower("w.term").alias("low"))
-    hit = words.join(F.broadcast(terms) if few else terms, "low")
+    hit = _flagged_words(texts.drop("entities"), F.broadcast(terms) if few else terms).drop("n_term")
+    scratch = [texts, terms, flagged]
+    if everywhere:
+        held = hit.select("k1", "k2", "n", "low").distinct().groupBy("low").agg(F.sum("n").alias("n_held"))
+        beyond = stored(terms.join(held, "low").where(F.col("n_term") > F.col("n_held")).select("low", "left"), "pii-beyond")
+        others = other_texts(docs, scan, beyond)
+        hit = hit.drop("n").unionByName(_flagged_words(others, F.broadcast(beyond) if few else beyond))
+        scratch += [beyond, others]
     action = F.when(F.col("left") <= remove, "remove").otherwise("generalise")
     spans = F.sort_array(F.collect_list(F.struct("start", "end", action.alias("action"), "term"))).cast(ADDED)
     added = stored(hit.groupBy("k1", "k2").agg(spans.alias("added")), "pii-added")
-    dropped(texts, terms, flagged)
+    dropped(*scratch)
     return scan, added
 
 
+def _flagged_words(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """A row for each place of a disclosing term, with the columns of its text and term."""
+    words = texts.withColumn("w", F.explode("words")).drop("words").select("*", "w.*", F.lower("w.term").alias("low")).drop("w")
+    return words.join(terms, "low")
+
+
+def other_texts(docs: DataFrame, scan: DataFrame, terms: DataFrame) -> DataFrame:
+    """(k1, k2, words) of each different text that has no base spans and holds one of the terms."""
+    n, none = terms.count(), F.array().cast(f"array<{SPAN}>")
+    held = scan.where(F.size("base") > 0).select("k1", "k2").distinct()
+    if not n:
+        return stored(held.limit(0).select("k1", "k2", _words(F.lit(""), none).alias("words")), "pii-others")
+    low = terms.select("low")
+    keys = _keyed(docs).select("k1", "k2", F.explode(_terms(F.col("text"))).alias("low")).join(F.broadcast(low) if n <= BROADCAST_ROWS else low, "low", "left_semi")
+    keys = stored(keys.select("k1", "k2").distinct().join(held, ["k1", "k2"], "left_anti"), "pii-other-keys")
+    few = keys.count() <= BROADCAST_ROWS
+    some = _keyed(docs).join(F.broadcast(keys) if few else keys, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("text").alias("text"))
+    others = stored(some.select("k1", "k2", _words(F.col("text"), none).alias("words")), "pii-others")
+    dropped(keys)
+    return others
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return documents_of(docs).select("doc_id", "text", *[k.alias(n) for n, k in zip(("k1", "k2"), key128(F.col("text")), strict=True)])
 
@@ -290,9 +319,9 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     removed or replaced by their category; null text becomes empty."""
     scan, added = search(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), **thresholds)
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    base = scan.where(F.size("base") > 0).groupBy("k1", "k2").agg(F.first("base").alias("base")).join(added, ["k1", "k2"], "left")
+    base = scan.where(F.size("base") > 0).groupBy("k1", "k2").agg(F.first("base").alias("base")).join(added, ["k1", "k2"], "full" if thresholds.get("everywhere") else "left")
     marks = F.concat(
-        F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.element_at(names, s["kind"] + 1).alias("by"))),
+        F.transform(F.coalesce("base", F.array().cast(scan.schema["base"].dataType)), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.element_at(names, s["kind"] + 1).alias("by"))),
         F.transform(F.coalesce("added", F.array().cast(ADDED)), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["action"] == "remove", GONE).otherwise(category(s["term"])).alias("by"))),
     )
     marked = base.select(F.col("k1").alias("_pii_1"), F.col("k2").alias("_pii_2"), F.sort_array(marks).alias("_pii_marks"))

@@ -270,6 +270,21 @@ def test_pii_terms_are_removed_or_generalised_everywhere(spark):
     assert "ada@" not in str(scan.where("size(entities) > 0").collect()) and added.count() == 3
 
 
+def test_pii_terms_go_in_documents_without_personal_data(spark, tmp_path):
+    far = "common words " * 5
+    rows = [(i, f"Kim 4711 {far} ada@x.org {far}{i}") for i in range(8)] + [(20, f"ask kim, {far} or KIM"), (21, f"ask kim, {far} or KIM"), (22, f"nobody {far}"), (23, None)]
+    rows += [(100 + i, far + str(i)) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = queries.op3_pii(spark, tables(tmp_path, documents=docs)).collect()
+    got = {r.doc_id: r.other_spans for r in out}
+    assert all(not r.spans and not r.n_spans for r in out if r.doc_id >= 20) and all(not r.other_spans and "term:0:3" in r.spans for r in out if r.doc_id < 20)
+    at = rows[8][1].index("KIM")
+    assert got[20] == got[21] == f"term:4:7,term:{at}:{at + 3}" and got[22] == got[23] == got[105] == ""
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs, everywhere=True).collect()}
+    assert clean[20] == clean[21] == f"ask [], {far} or []" and clean[22] == rows[10][1] and clean[23] == "" and len(clean) == len(rows)
+    assert clean[0] == f"[] [] {far} [EMAIL] {far}0"
+
+
 def test_pii_entities_of_the_same_texts_are_one_class(spark):
     rows = [(i, " ".join(f"u{j}@x.org" for j in range(50)) + f" word{i}") for i in range(3)] + [(9, "u1@x.org z@x.org")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
