@@ -558,6 +558,22 @@ def test_neighbours_graph_grows_until_lists_stay(spark):
     assert share >= 0.8
 
 
+def test_neighbours_of_many_shards_are_those_of_all_rows(spark):
+    """Each shard has its own graph and its part of the answer; no shuffle has more than a row for each vector and shard."""
+    rng = np.random.default_rng(6)
+    vectors = [(i, v) for i, v in enumerate(rng.normal(size=(3000, 16)).astype(np.float32))]
+    vectors = [(i, vectors[42][1] if i % 97 == 42 else v) for i, v in vectors]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in vectors], "vec_id long, embedding array<float>")
+    index = neighbours.build(df, settings=neighbours.Settings(shard=200))
+    assert index.shards == -(-index.nodes.count() // 200) and index.adjacency.count() == index.nodes.count()
+    got = defaultdict(list)
+    for r in neighbours.search(index, df.where("vec_id % 100 = 0")).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    want = brute_neighbours(vectors)
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.95 * 10 * len(want)
+    assert all([d for _, d in got[q]] == sorted(d for _, d in got[q]) and len(got[q]) == 10 for q in want)
+
+
 @pytest.mark.parametrize("n", [0, 1, 4])
 def test_neighbours_few_rows(spark, n, tmp_path):
     rows = [(100 * i, [float(i), 1.0]) for i in range(n)]
